@@ -1,8 +1,9 @@
 """The queries of this package and their SQL, by name."""
 
-from . import bpe, mixing
+from . import bpe, language, mixing
 
 QUERIES = {
+    "op2_language_id": language.op2_language_id,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
 }
