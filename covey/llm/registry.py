@@ -1,9 +1,10 @@
 """The queries of this package and their SQL, by name."""
 
-from . import bpe, language, media, mixing
+from . import bpe, language, media, mixing, pii
 
 QUERIES = {
     "op2_language_id": language.op2_language_id,
+    "op3_personal_data": pii.op3_personal_data,
     "op5_media_sequences": media.op5_media_sequences,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
