@@ -1,6 +1,6 @@
 """The queries of this package and their SQL, by name."""
 
-from . import bpe, language, media, mixing, pii
+from . import bpe, language, mainpage, media, mixing, pii
 
 QUERIES = {
     "op2_language_id": language.op2_language_id,
@@ -8,5 +8,6 @@ QUERIES = {
     "op5_media_sequences": media.op5_media_sequences,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
+    "op9_main_text": mainpage.op9_main_text,
 }
 SQL = {"op7_mix_sources": mixing.OP7_SQL}
