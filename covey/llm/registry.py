@@ -1,6 +1,6 @@
 """The queries of this package and their SQL, by name."""
 
-from . import bpe, language, mainpage, media, mixing, pii
+from . import bpe, language, mainpage, media, mixing, pii, quality
 
 QUERIES = {
     "op2_language_id": language.op2_language_id,
@@ -9,5 +9,6 @@ QUERIES = {
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
     "op9_main_text": mainpage.op9_main_text,
+    "op10_site_quality": quality.op10_site_quality,
 }
 SQL = {"op7_mix_sources": mixing.OP7_SQL}
