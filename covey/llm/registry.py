@@ -1,8 +1,9 @@
 """The queries of this package and their SQL, by name."""
 
-from . import bpe, language, mainpage, media, mixing, pii, quality
+from . import bpe, language, mainpage, media, mixing, neardup, pii, quality
 
 QUERIES = {
+    "op1_near_duplicates": neardup.op1_near_duplicates,
     "op2_language_id": language.op2_language_id,
     "op3_personal_data": pii.op3_personal_data,
     "op5_media_sequences": media.op5_media_sequences,
