@@ -1,11 +1,12 @@
 """The queries of this package and their SQL, by name."""
 
-from . import bpe, language, mainpage, media, mixing, neardup, pii, quality, repeats
+from . import bpe, language, mainpage, media, mixing, neardup, pii, quality, repeats, vectors
 
 QUERIES = {
     "op1_near_duplicates": neardup.op1_near_duplicates,
     "op2_language_id": language.op2_language_id,
     "op3_personal_data": pii.op3_personal_data,
+    "op4_near_vectors": vectors.op4_near_vectors,
     "op5_media_sequences": media.op5_media_sequences,
     "op6_repeated_passages": repeats.op6_repeated_passages,
     "op7_mix_sources": mixing.op7_mix_sources,
