@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +28,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/covey-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: A join of a table with the few of its rows that another one names: Spark then drops most of the others
+#: at the scan by a Bloom filter of bounded size, however small the table is.
+RUNTIME_FILTERS = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "512MB",
+}
+
+
+@contextmanager
+def runtime_filters(spark: SparkSession):
+    """Runtime filters for the plans that are run inside."""
+    before = {k: spark.conf.get(k, None) for k in RUNTIME_FILTERS}
+    for k, v in RUNTIME_FILTERS.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
