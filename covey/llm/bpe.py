@@ -56,19 +56,11 @@ def vocabulary(path: str | None, pattern: str | None) -> tuple[str, str]:
     return path, pattern
 
 
-def _ids(made, texts, path, pattern):
-    """Encoded pieces as (ids, digests of ids, of decoded bytes), one at a time."""
-    enc, names = encoder(path, pattern)
+def _ids(texts, path, pattern):
+    """The ids of each text."""
+    enc, _ = encoder(path, pattern)
     for text in texts:
-        ids = enc.encode_ordinary(text or "")
-        if "digest" in made:
-            yield (
-                len(ids),
-                hashlib.sha256(" ".join([names[i] for i in ids]).encode()).hexdigest(),
-                hashlib.sha256(enc.decode_bytes(ids)).hexdigest(),
-            )
-        else:
-            yield ids
+        yield enc.encode_ordinary(text or "")
 
 
 def _with(df: DataFrame, text: str, name: str, kind: str, make) -> DataFrame:
@@ -127,7 +119,7 @@ def encode(df: DataFrame, text: str = "text", name: str = "ids", path: str | Non
     """df with the array of ids of each whole text in place of its column text."""
     path, pattern = vocabulary(path, pattern)
     df = df.drop(name) if name != text else df
-    make = lambda column: pa.array(list(_ids((), column.to_pylist(), path, pattern)), pa.list_(pa.int32()))
+    make = lambda column: pa.array(list(_ids(column.to_pylist(), path, pattern)), pa.list_(pa.int32()))
     short = _with(df.where(F.coalesce(F.length(text), F.lit(0)) <= chunk), text, name, "array<int>", make)
     long, cut = pieces(df.where(F.length(text) > chunk), text, path, pattern, chunk, overlap)
     done = _with(cut, "_text", "_ids", "array<int>", make)
@@ -147,39 +139,40 @@ def decode(df: DataFrame, ids: str = "ids", name: str = "decoded", path: str | N
     return _with(df, ids, name, "binary", make)
 
 
-def round_trip(df: DataFrame, text: str = "text", path: str | None = None, pattern: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """df with, in place of its column text, what encoding and then decoding gives: n_tokens, ids_sha256, decoded_sha256.
+def round_trip(df: DataFrame, text: str = "text", path: str | None = None, pattern: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP, keep_ids: bool = False) -> DataFrame:
+    """df with, in place of its column text, what encoding and then decoding gives: n_tokens, ids_sha256, decoded_sha256, and ids if asked for.
 
-    Texts of one piece are encoded, decoded and digested in one go, so that no ids leave the worker."""
+    Texts of one piece are encoded, decoded and digested in one go."""
     path, pattern = vocabulary(path, pattern)
-    df = df.drop("n_tokens", "ids_sha256", "decoded_sha256")
-    kind = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
-    fields = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    df = df.drop("n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else []))
+    fields = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), *([("ids", pa.list_(pa.int32()))] if keep_ids else [])]
+    kind = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string" + (",ids:array<int>>" if keep_ids else ">")
 
     def digests(column):
-        rows = list(_ids("digest", column.to_pylist(), path, pattern))
+        enc, names = encoder(path, pattern)
+        rows = []
+        for ids in _ids(column.to_pylist(), path, pattern):
+            row = (len(ids), hashlib.sha256(" ".join([names[i] for i in ids]).encode()).hexdigest(), hashlib.sha256(enc.decode_bytes(ids)).hexdigest())
+            rows.append((*row, ids) if keep_ids else row)
         return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(fields)], [n for n, _ in fields])
 
     def raw(column):
-        enc, names = encoder(path, pattern)
-        rows = list(_ids((), column.to_pylist(), path, pattern))
-        return pa.StructArray.from_arrays(
-            [pa.array([len(r) for r in rows], pa.int64()), pa.array([" ".join([names[i] for i in r]) for r in rows]), pa.array([enc.decode_bytes(r) for r in rows], pa.binary())],
-            ["n", "ids", "bytes"],
-        )
+        enc, _ = encoder(path, pattern)
+        rows = list(_ids(column.to_pylist(), path, pattern))
+        return pa.StructArray.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array([enc.decode_bytes(r) for r in rows], pa.binary())], ["ids", "bytes"])
 
     short = _with(df.where(F.coalesce(F.length(text), F.lit(0)) <= chunk), text, "_made", kind, digests)
     long, cut = pieces(df.where(F.length(text) > chunk), text, path, pattern, chunk, overlap)
-    done = _with(cut, "_text", "_made", "struct<n:bigint,ids:string,bytes:binary>", raw)
-    all_of = F.array_sort(F.collect_list(F.struct("_piece", F.col("_made.n").alias("n"), F.col("_made.ids").alias("ids"), F.hex("_made.bytes").alias("bytes"))))
-    one = done.groupBy("_row").agg(all_of.alias("_all")).select(
-        "_row",
-        F.struct(
-            F.aggregate("_all", F.lit(0).cast("bigint"), lambda s, x: s + x["n"]).alias("n_tokens"),
-            F.sha2(F.array_join(F.filter(F.transform("_all", lambda x: x["ids"]), lambda t: t != ""), " ").cast("binary"), 256).alias("ids_sha256"),
-            F.sha2(F.unhex(F.array_join(F.transform("_all", lambda x: x["bytes"]), "")), 256).alias("decoded_sha256"),
-        ).alias("_made"),
-    )
+    done = _with(cut, "_text", "_made", "struct<ids:array<int>,bytes:binary>", raw)
+    all_of = F.array_sort(F.collect_list(F.struct("_piece", F.col("_made.ids").alias("ids"), F.hex("_made.bytes").alias("bytes"))))
+    one = done.groupBy("_row").agg(all_of.alias("_all")).withColumn("_ids", F.flatten(F.transform("_all", lambda x: x["ids"])))
+    made = [
+        F.size("_ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("_ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.unhex(F.array_join(F.transform("_all", lambda x: x["bytes"]), "")), 256).alias("decoded_sha256"),
+        *([F.col("_ids").alias("ids")] if keep_ids else []),
+    ]
+    one = one.select("_row", F.struct(*made).alias("_made"))
     return short.unionByName(long.drop(text).join(one, "_row").drop("_row")).select("*", "_made.*").drop("_made")
 
 

@@ -297,5 +297,12 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def keep_first(df: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
+    """df with one row of each class, that of the smallest id. Rows that share an id are one document; rows without one stay."""
+    kept = near_duplicates(df, text, key, **how).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    first = df.join(stored(kept, "kept"), F.col(key).cast("long") == F.col("_kept"), "left_semi").dropDuplicates([key])
+    return first.unionByName(df.where(F.col(key).isNull()))
+
+
 def op1_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=3, percent=85)
