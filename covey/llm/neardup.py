@@ -9,7 +9,7 @@ A document is the set of its distinct shingles of SHINGLE words. Equal sets are
    token at a chosen coordinate names. Similar points share a path of any length with good chances, others
    hardly ever. The first DEPTH levels need no look at others, so each point names its nodes of that level
    at once. Nodes with one point end there. Nodes with more than LEAF points go on branching, up to
-   DEEPEST levels.
+   the level deepest(), which grows with the logarithm of the points.
 3. In a small node all pairs of embeddings are compared; those whose share of equal tokens is up to
    SLACK below the similarity are candidates. A node still large at the deepest level has points that agree
    at that many chosen tokens; all of them are candidates with its first point. Candidates hang
@@ -19,7 +19,7 @@ A document is the set of its distinct shingles of SHINGLE words. Equal sets are
    component of these links.
 
 Recall: two sets at the very threshold meet in a tree's nodes of level DEPTH with a chance of about 0.64,
-and in one of TREES trees with all but about 1e-6; a candidate that meets is overlooked if its estimate is
+and in one of TREES trees with all but about 4e-5; a candidate that meets is overlooked if its estimate is
 SLACK too low, which is four deviations of it. Families join what is linked by chains of others too.
 
 Defined results: a text without words, or null, has 0 shingles and is linked with nothing; documents of
@@ -35,11 +35,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..storage import stored
+from ..storage import runtime_filters, stored
 from .linking import components, forest
 from .words import Words, mixed, sliced
 
-TOKENS, TREES, DEPTH, DEEPEST = 128, 12, 4, 12
+TOKENS, TREES, DEPTH = 128, 10, 4
 LEAF, BLOCK, SLACK = 400, 3000, 0.13
 _A = np.random.Generator(np.random.PCG64(99)).integers(1, 1 << 31, TOKENS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = np.random.Generator(np.random.PCG64(77)).integers(0, 1 << 32, TOKENS, dtype=np.uint32)
@@ -101,7 +101,7 @@ def signatures(df: DataFrame, text: str, key: str, shingle: int) -> DataFrame:
     return df.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")).mapInArrow(run, "doc_id long, n_shingles long, point long, check long, tokens binary")
 
 
-def branched(points: np.ndarray, nodes: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def branched(nodes: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """The children (index of the row, node) of rows at nodes."""
     first = mixed(nodes ^ _C[2])
     second = mixed(first + _C[3])
@@ -120,10 +120,13 @@ def _tokens(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, TOKENS)
 
 
-def once(nodes: np.ndarray, points: np.ndarray) -> pa.RecordBatch:
-    """(node, point) without the few rows that come twice, as a point's second path led to the same node."""
-    pairs = np.unique(np.stack([nodes.view(np.int64), points]), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["node", "point"])
+def once(rows: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and their nodes without the few that come twice, as a second path led to the same node."""
+    order = np.lexsort((nodes, rows))
+    rows, nodes = rows[order], nodes[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (nodes[1:] != nodes[:-1])
+    return rows[new], nodes[new]
 
 
 def rooted(points: DataFrame, similarity: float, trees: int, depth: int) -> DataFrame:
@@ -138,25 +141,31 @@ def rooted(points: DataFrame, similarity: float, trees: int, depth: int) -> Data
                     rows = np.arange(len(ids))
                     nodes = np.full(len(ids), mixed(np.array([tree + 1], np.uint64))[0])
                     for _ in range(depth):
-                        kept, nodes = branched(ids, nodes, tokens[rows], similarity)
+                        kept, nodes = branched(nodes, tokens[rows], similarity)
                         rows = rows[kept]
-                    yield once(nodes, ids[rows])
+                    rows, nodes = once(rows, nodes)
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(ids[rows])], ["node", "point"])
 
     return points.select("point", "tokens").mapInArrow(run, "node long, point long")
 
 
-def deeper(rows: DataFrame, points: DataFrame, similarity: float) -> DataFrame:
-    """The children of rows (node, point)."""
+def deeper(rows: DataFrame, similarity: float) -> DataFrame:
+    """The children of rows (node, point, tokens)."""
 
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
                 part = batch.slice(start, 4096)
-                ids = np.asarray(part.column("point"))
-                kept, nodes = branched(ids, np.asarray(part.column("node")).view(np.uint64), _tokens(part.column("tokens")), similarity)
-                yield once(nodes, ids[kept])
+                kept, nodes = once(*branched(np.asarray(part.column("node")).view(np.uint64), _tokens(part.column("tokens")), similarity))
+                at = pa.array(kept)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), part.column("point").take(at), part.column("tokens").take(at)], ["node", "point", "tokens"])
 
-    return rows.join(points.select("point", "tokens"), "point").select("node", "point", "tokens").mapInArrow(run, "node long, point long")
+    return rows.select("node", "point", "tokens").mapInArrow(run, "node long, point long, tokens binary")
+
+
+def deepest(points: int) -> int:
+    """The level at which nodes that are still large hold points alike, not chance: it grows with the points' logarithm."""
+    return max(DEPTH + 1, int(np.ceil(np.log(max(1, points / LEAF)) / np.log(3))))
 
 
 def sized(rows: DataFrame) -> DataFrame:
@@ -166,46 +175,78 @@ def sized(rows: DataFrame) -> DataFrame:
 
 def candidates(points: DataFrame, similarity: float, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
     """Links (a, b) that hang together whatever candidates there are; star by star, not pair by pair."""
-    level = stored(rooted(points, similarity, trees, depth), "nodes")
-    found = []
-    for k in range(depth, DEEPEST + 1):
-        nodes = stored(sized(level), "sizes")
-        # Trees find the same groups again and again: each set of points is looked at once.
-        small = nodes.where(F.col("size") <= LEAF).groupBy("size", "first", "members").agg(F.min("node").alias("node")).select("node")
-        found.append(compared(level.join(small, "node"), points, similarity))
-        large = nodes.where(F.col("size") > LEAF)
-        if not large.limit(1).count():
-            break
-        rest = level.join(large.select("node", "first"), "node")
-        if k == DEEPEST:
-            found.append(rest.where("point <> first").select(F.col("first").alias("a"), F.col("point").alias("b")))
-        else:
-            level = stored(deeper(rest.select("node", "point"), points, similarity), "nodes")
+    spark, last = points.sparkSession, deepest(points.count())
+    with runtime_filters(spark):
+        level = stored(rooted(points, similarity, trees, depth), "nodes")
+        found = []
+        for k in range(depth, last + 1):
+            nodes = stored(sized(level), "sizes")
+            # Trees find the same groups again and again: each set of points is looked at once.
+            small = nodes.where(F.col("size") <= LEAF).groupBy("size", "first", "members").agg(F.min("node").alias("node")).select("node", "size")
+            small = stored(small, "leaves").where("size > 1")
+            large = nodes.where(F.col("size") > LEAF).select("node", "size", "first")
+            leaves = level.join(small, "node")
+            rest = level.join(large, "node")
+            if k == depth:  # from here on rows have their tokens with them
+                leaves = points.select("point", "tokens").join(stored(leaves, "leaf-points").where("size > 1"), "point")
+            found.append(stored(compared(leaves.select("node", "point", "tokens"), similarity), "candidates"))
+            if not large.limit(1).count():
+                break
+            if k == last:
+                found.append(rest.where("point <> first").select(F.col("first").alias("a"), F.col("point").alias("b")))
+            else:
+                if k == depth:
+                    rest = points.select("point", "tokens").join(stored(rest.select("node", "point", "size"), "large-nodes").where("size > 1"), "point")
+                level = stored(deeper(rest, similarity), "nodes")
     links = found[0]
     for x in found[1:]:
         links = links.unionByName(x)
     return links
 
 
-def compared(leaves: DataFrame, points: DataFrame, similarity: float) -> DataFrame:
-    """Links between points of small nodes (node, point) whose embeddings are alike."""
+def alike(nodes: np.ndarray, tokens: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one node with at least so many equal tokens; rows are ordered by node."""
+    a, b = [], []
+    here = np.arange(len(nodes))
+    shift = 1
+    while True:
+        here = here[: np.searchsorted(here, len(nodes) - shift)]
+        here = here[nodes[here] == nodes[here + shift]]  # what has no partner at this distance has none farther on
+        if not len(here):
+            return np.concatenate(a or [here]), np.concatenate(b or [here])
+        for start in range(0, len(here), 8192):
+            part = here[start : start + 8192]
+            same = part[(tokens[part] == tokens[part + shift]).sum(1, dtype=np.int16) >= least]
+            a.append(same)
+            b.append(same + shift)
+        shift += 1
+
+
+def compared(leaves: DataFrame, similarity: float) -> DataFrame:
+    """Links between points of small nodes (node, point, tokens) whose embeddings are alike."""
     least = int(np.ceil((similarity - SLACK) * TOKENS))
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        tokens = np.frombuffer(b"".join(frame["tokens"]), np.uint16).reshape(-1, TOKENS)
-        ids = frame["point"].to_numpy()
-        a, b = [], []
-        for start in range(0, len(ids), 64):
-            same = (tokens[start : start + 64, None, :] == tokens[None, :, :]).sum(2, dtype=np.int16)
-            x, y = np.nonzero(same >= least)
-            keep = x + start < y
-            a.append(x[keep] + start)
-            b.append(y[keep])
-        label = forest(len(ids), np.concatenate(a), np.concatenate(b))
+    def links(nodes, ids, tokens):
+        label = forest(len(ids), *alike(nodes, tokens, least))
         far = np.flatnonzero(label != np.arange(len(ids)))
-        return pd.DataFrame({"a": ids[label[far]], "b": ids[far]})
+        return pa.RecordBatch.from_arrays([pa.array(ids[label[far]]), pa.array(ids[far])], ["a", "b"])
+
+    def run(batches):
+        held = None  # rows of the last node seen, which may go on in the next batch
+        for batch in batches:
+            for start in range(0, batch.num_rows, 8192):
+                part = batch.slice(start, 8192)
+                rows = [np.asarray(part.column("node")), np.asarray(part.column("point")), _tokens(part.column("tokens"))]
+                if held is not None:
+                    rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+                cut = int(np.searchsorted(rows[0], rows[0][-1]))
+                held = [x[cut:] for x in rows]
+                if cut:
+                    yield links(*(x[:cut] for x in rows))
+        if held is not None:
+            yield links(*held)
 
-    return leaves.join(points.select("point", "tokens"), "point").select("node", "point", "tokens").groupBy("node").applyInPandas(run, "a long, b long")
+    return leaves.repartition("node").sortWithinPartitions("node").mapInArrow(run, "a long, b long")
 
 
 def exact_links(sizes: list[int], values: np.ndarray, percent: int, only: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -224,8 +265,9 @@ def exact_links(sizes: list[int], values: np.ndarray, percent: int, only: int |
     owner = owner[shared]
     _, column = np.unique(column, return_inverse=True)
     common = np.zeros((n, n), np.float32)
-    width = max(1, (8 << 20) // max(1, n))
-    for start in range(0, int(column.max(initial=-1)) + 1, width):
+    columns = int(column.max(initial=-1)) + 1
+    width = min(columns, max(1, (8 << 20) // max(1, n)))
+    for start in range(0, columns, max(1, width)):
         at = (column >= start) & (column < start + width)
         dense = np.zeros((n, width), np.float32)
         dense[owner[at], column[at] - start] = 1
@@ -244,8 +286,8 @@ def verified(families: DataFrame, df: DataFrame, text: str, key: str, shingle: i
     families: (point, check, doc_id of one document with that set, family). The sets are made again from that text."""
     size = families.groupBy("family").agg(F.count(F.lit(1)).alias("_size"))
     placed = families.join(size, "family").withColumn("_blocks", F.ceil(F.col("_size") / F.lit(BLOCK)).cast("int"))
-    placed = placed.withColumn("_block", F.pmod(F.hash("point", F.lit("block")), F.col("_blocks")))
-    texts = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text")).join(placed.drop("_size"), "doc_id")
+    placed = stored(placed.withColumn("_block", F.pmod(F.hash("point", F.lit("block")), F.col("_blocks"))), "blocks")
+    texts = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text")).join(placed.where("_size > 1").drop("_size"), "doc_id")
 
     def sets(batches):
         for batch in batches:
@@ -285,7 +327,9 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
     points = stored(points, "points")
     families = components(candidates(points, similarity, trees)).withColumnsRenamed({"node": "point", "component": "family"})
     families = stored(families.join(points.select("point", "check", "doc_id"), "point"), "families")
-    linked = components(verified(families, df, text, key, shingle, percent)).withColumnsRenamed({"node": "point", "component": "group"})
+    with runtime_filters(df.sparkSession):
+        exact = stored(verified(families, df, text, key, shingle, percent), "exact-links")
+    linked = components(exact).withColumnsRenamed({"node": "point", "component": "group"})
     linked = linked.join(families.select("point", "doc_id"), "point")
     least = linked.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     classes = linked.join(least, "group").select("point", "component_id")
