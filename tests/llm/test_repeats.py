@@ -82,6 +82,8 @@ def test_tiles_cover_and_agree(middle, before, after):
     w = Words(pa.array(texts), False)
     name, start, size = repeats.tiles(w.hash, w.rows)
     assert (size >= repeats.TILE).all() and (start[1:] >= start[:-1] + size[:-1]).all()
+    name, start, size = repeats.anchors(w.hash, w.rows)
+    assert (size >= 2 * repeats.TILE).all()
     a = set(name[start < w.rows[1]].tolist())
     assert a & set(name[start >= w.rows[1]].tolist())
 
