@@ -150,3 +150,27 @@ def continent(lat: Column, lon: Column) -> Column:
 def continent_sql(lat: str, lon: str) -> str:
     cases = " ".join("WHEN " + " AND ".join(f"{lat if axis == 'lat' else lon} {op} {bound}" for axis, op, bound in tests) + f" THEN '{name}'" for name, tests in region_rows())
     return f"CASE {cases} ELSE '{ELSEWHERE}' END"
+
+
+# The names of planned regions by their centre, in the order they are tried, bounds inclusive:
+# (name, west, east, south, north); and parts of two of them by the longitude that they lie west of.
+CENTRES = (
+    ("na", -170, -50, 15, 75),
+    ("europe", -20, 50, 35, 70),
+    ("asia", 60, 150, -10, 55),
+    ("sa", -85, -30, -60, 15),
+    ("africa", 10, 55, -35, 35),
+    ("oceania", 110, 180, -50, -10),
+)
+PARTS = {"na": (("west-coast", -110), ("midwest", -85), ("east-coast", None)), "europe": (("western", 10), ("central", 30), ("eastern", None))}
+
+
+def centre_name(lat: Column, lon: Column) -> Column:
+    """A readable name for a region by its centre: continent-part."""
+    out = F.lit("unknown-main")
+    for name, west, east, south, north in reversed(CENTRES):
+        part = F.lit(f"{name}-main")
+        for suffix, below in reversed(PARTS.get(name, ())):
+            part = F.lit(f"{name}-{suffix}") if below is None else F.when(lon < below, F.lit(f"{name}-{suffix}")).otherwise(part)
+        out = F.when(lon.between(west, east) & lat.between(south, north), part).otherwise(out)
+    return out

@@ -6,7 +6,7 @@ its region), see views.py.
 """
 
 from .registry import QUERIES, SQL
-from . import comparing, frequencies, grid, kits, lookups, planning, taxonomy  # noqa: F401  they register their queries
+from . import comparing, frequencies, grid, ingest, kits, lookups, planning, taxonomy  # noqa: F401  they register their queries
 
 FLAGSHIP = "freq_monthly"
 
