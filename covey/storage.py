@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+PREFIX, _SESSION = "covey-", uuid.uuid4().hex[:12]
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again: cuts lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/covey-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession)}/{PREFIX}{_SESSION}-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -50,3 +51,15 @@ def runtime_filters(spark: SparkSession):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes the tables that stored() wrote in this session's shared folder; how many there were.
+
+    For when the results made from them are written: until then they are read again."""
+    jvm, folder = spark.sparkContext._jvm, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [x.getPath() for x in files.globStatus(jvm.org.apache.hadoop.fs.Path(folder, f"{PREFIX}{_SESSION}-*")) or []]
+    for path in found:
+        files.delete(path, True)
+    return len(found)
