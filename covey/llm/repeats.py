@@ -215,14 +215,18 @@ def repeated_passages(df: DataFrame, text: str = "text", key: str = "doc_id", wi
     groups = stored(compared.groupBy("s1", "s2").agg(F.min("doc_id").alias("first")), "first-of-sequences")
     found = candidates(df, compared, groups.select(F.col("first").alias("doc_id")), text, key)
     named = windows(found, window)
-    least = named.groupBy("h1", "h2").agg(F.min("doc_id").alias("_least")).withColumnsRenamed({"h1": "_h1", "h2": "_h2"})
+    least = named.groupBy("h1", "h2").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most")).where("_least < _most")
+    # Stored, so that either side of the join is dealt out alone, and what one passage has most of can be split.
+    least = stored(least.select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "_least"), "repeated-windows")
     later = named.join(least, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).where("doc_id > _least")
     marked = later.groupBy("doc_id").agg(F.collect_list(F.struct("place", "h1")).alias("marks"))
     marked = stored(marked.withColumn("_n", F.size("marks")), "marks").where("_n > 0").drop("_n")
     with runtime_filters(df.sparkSession):
         changes = stored(cut(found, marked, window), "changes").where("n_removed > 0")
     again = facts.drop("tiles").join(groups, ["s1", "s2"]).where("doc_id > first")
-    again = again.select("doc_id", "s1", "s2", F.col("n_words").alias("n_removed"), F.lit("").alias("kept_text")).dropDuplicates(["doc_id", "s1", "s2"])
+    again = again.select("doc_id", "s1", "s2", F.col("n_words").alias("n_removed"), F.lit("").alias("kept_text"))
+    # Dealt out anew, so that the join may split the copies of a sequence that very many documents have.
+    again = again.repartition("doc_id", "s1", "s2").dropDuplicates(["doc_id", "s1", "s2"])
     return facts.drop("tiles"), changes.dropDuplicates(["doc_id", "s1", "s2"]).unionByName(again)
 
 
