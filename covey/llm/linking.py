@@ -32,18 +32,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternates two steps until nothing changes: each node's larger neighbours are hung on its smallest
     neighbour, then each node's smaller neighbours are. Each round is written to the shared folder, so a
-    lost executor costs a part of one round. A node's neighbours are met by a join, never gathered.
+    lost executor costs a part of one round. A node's neighbours are met by a join, never gathered; both
+    sides of it come from storage, so that the rows of a node with very many links can be split.
     """
     small, large = F.least(a, b), F.greatest(a, b)
     edges = stored(links.select(large.alias("u"), small.alias("v")).where("u <> v").distinct(), "links")
     for _ in range(MAX_ROUNDS):
         # Large star: both directions of each link; v's neighbours above v go to the least of v and its neighbours.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy(F.col("v").alias("w")).agg(F.min("u").alias("m")).select("w", F.least("w", "m").alias("m"))
+        least = stored(both.groupBy(F.col("v").alias("w")).agg(F.min("u").alias("m")).select("w", F.least("w", "m").alias("m")), "least")
         large_star = both.where("u > v").join(least, F.col("v") == F.col("w")).select("u", F.col("m").alias("v")).where("u <> v").distinct()
         large_star = stored(large_star, "large-star")
         # Small star: v <= u for all links; u and its neighbours below it go to the least of these.
-        least = large_star.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+        least = stored(large_star.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), "least")
         met = large_star.join(least, F.col("u") == F.col("w"))
         small_star = met.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).distinct()
         new = stored(small_star, "small-star")

@@ -40,7 +40,9 @@ from .linking import components, forest
 from .words import Words, mixed, sliced
 
 TOKENS, TREES, DEPTH = 128, 10, 4
-LEAF, BLOCK, SLACK = 400, 3000, 0.13
+LEAF, BLOCK, SLACK = 400, 1500, 0.13
+#: Shingles that a block should hold, which bounds the memory of a task that compares two.
+BLOCK_SHINGLES = 2 << 20
 _A = np.random.Generator(np.random.PCG64(99)).integers(1, 1 << 31, TOKENS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = np.random.Generator(np.random.PCG64(77)).integers(0, 1 << 32, TOKENS, dtype=np.uint32)
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -283,9 +285,10 @@ def exact_links(sizes: list[int], values: np.ndarray, percent: int, only: int |
 def verified(families: DataFrame, df: DataFrame, text: str, key: str, shingle: int, percent: int) -> DataFrame:
     """(a, b): exact links that connect all of a family's points that any exact links connect.
 
-    families: (point, check, doc_id of one document with that set, family). The sets are made again from that text."""
-    size = families.groupBy("family").agg(F.count(F.lit(1)).alias("_size"))
-    placed = families.join(size, "family").withColumn("_blocks", F.ceil(F.col("_size") / F.lit(BLOCK)).cast("int"))
+    families: (point, check, doc_id of one document with that set, n_shingles, family). The sets are made again from that text."""
+    size = families.groupBy("family").agg(F.count(F.lit(1)).alias("_size"), F.sum("n_shingles").alias("_shingles"))
+    blocks = F.greatest(F.ceil(F.col("_size") / F.lit(BLOCK)), F.ceil(F.col("_shingles") / F.lit(BLOCK_SHINGLES))).cast("int")
+    placed = families.join(size, "family").withColumn("_blocks", blocks).drop("_shingles", "n_shingles")
     placed = stored(placed.withColumn("_block", F.pmod(F.hash("point", F.lit("block")), F.col("_blocks"))), "blocks")
     texts = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text")).join(placed.where("_size > 1").drop("_size"), "doc_id")
 
@@ -323,10 +326,10 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
     """For each row doc_id, n_shingles, component_id (the smallest id reachable by links) and kept."""
     similarity = percent / 100
     marked = stored(signatures(df, text, key, shingle), "signatures")
-    points = marked.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("point", "check").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"))
+    points = marked.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("point", "check").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), F.first("n_shingles").alias("n_shingles"))
     points = stored(points, "points")
     families = components(candidates(points, similarity, trees)).withColumnsRenamed({"node": "point", "component": "family"})
-    families = stored(families.join(points.select("point", "check", "doc_id"), "point"), "families")
+    families = stored(families.join(points.select("point", "check", "doc_id", "n_shingles"), "point"), "families")
     with runtime_filters(df.sparkSession):
         exact = stored(verified(families, df, text, key, shingle, percent), "exact-links")
     linked = components(exact).withColumnsRenamed({"node": "point", "component": "group"})
