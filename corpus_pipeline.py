@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from covey.llm import bpe, mixing, neardup, pii, quality
+from covey.shipping import shipped
 from covey.storage import stored
 
 ORACLE_SQL = None
@@ -40,11 +41,11 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality", good_quality),
-    ("near_duplicates", one_of_each),
-    ("personal_data", without_personal_data),
-    ("mixing", mixed_sources),
-    ("token_ids", token_ids),
+    ("quality", shipped(good_quality)),
+    ("near_duplicates", shipped(one_of_each)),
+    ("personal_data", shipped(without_personal_data)),
+    ("mixing", shipped(mixed_sources)),
+    ("token_ids", shipped(token_ids)),
 ]
 
 
