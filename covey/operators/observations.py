@@ -31,18 +31,18 @@ def effort(df: DataFrame, cell: list[str], checklist: str = "checklist") -> Data
 def frequencies(df: DataFrame, cell: list[str], taxon: list[str], checklist: str = "checklist") -> DataFrame:
     """Share of a cell's checklists that report a taxon.
 
-    Records are reduced to one row for each (cell, taxon, checklist) once, and both counts are made from
-    these, so the wide input is shuffled once, after a partial aggregation. Rows with a null key are no
-    observation of a cell and go."""
-    once = df.select(*cell, *taxon, checklist).dropna().distinct()
-    totals = once.select(*cell, checklist).distinct().groupBy(*cell).agg(F.count(F.lit(1)).alias("cell_checklists"))
-    seen = once.groupBy(*cell, *taxon).agg(F.count(F.lit(1)).alias("taxon_checklists"))
+    Both distinct counts start from the input, where a checklist's records stand together, so that partial
+    aggregation drops most of them before anything is shuffled. Rows with a null key are no observation of a
+    cell and go."""
+    known = df.select(*cell, *taxon, checklist).dropna()
+    totals = known.select(*cell, checklist).distinct().groupBy(*cell).agg(F.count(F.lit(1)).alias("cell_checklists"))
+    seen = known.distinct().groupBy(*cell, *taxon).agg(F.count(F.lit(1)).alias("taxon_checklists"))
     return seen.join(totals, cell).withColumn("frequency", F.col("taxon_checklists") / F.col("cell_checklists"))
 
 
 def at_resolutions(df: DataFrame, cells: dict[int, str], others: list[str]) -> DataFrame:
-    """Each row once for each resolution, as (resolution, cell) and the others. Others are reduced to distinct rows before."""
-    finest = df.select(*cells.values(), *others).dropna().distinct()
+    """Each row once for each resolution, as (resolution, cell) and the others."""
+    finest = df.select(*cells.values(), *others).dropna()
     levels = F.array(*(F.struct(F.lit(r).alias("resolution"), F.col(c).cast("long").alias("cell")) for r, c in cells.items()))
     return finest.select(F.explode(levels).alias("_level"), *others).select("_level.*", *others)
 
