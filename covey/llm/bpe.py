@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import stored
+from .columns import others
 
 CHUNK, OVERLAP = 1 << 16, 1 << 11
 #: Boundaries this near a chunk's end may depend on what follows it.
@@ -65,7 +66,7 @@ def _ids(texts, path, pattern):
 
 def _with(df: DataFrame, text: str, name: str, kind: str, make) -> DataFrame:
     """df with its column text replaced by a column name, made by make from the batch's texts."""
-    kept = [c for c in df.columns if c not in (text, name)]
+    kept = others(df, text, name)
     schema = T.StructType([*(T.StructField(c, df.schema[c].dataType) for c in kept), T.StructField(name, T.DataType.fromDDL(kind))])
 
     def run(batches):

@@ -25,10 +25,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .columns import others
 from .words import joined, sliced
 
 ORDER = 3  # the tables below are laid out for it
 SAMPLE = 6 << 20
+#: Bytes whose code lengths are looked up at once.
+BLOCK = 1 << 21
 #: More languages than this are taken for a broken column.
 MAX_LANGUAGES = 400
 UNKNOWN = "und"
@@ -101,24 +104,30 @@ class Trees:
             order1 = level(s1, a, order0, own)
             order2 = level(of_two - 1, len(two), order1[two % a], own)
             order3 = level(of_three, len(three), order2[three // a - 1], own)
-            self.table.append(np.concatenate([x.ravel() for x in (order1, order2, order3)]).astype(np.float32))
+            self.table.append(np.concatenate([*(x.ravel() for x in (order1, order2, order3)), [0.0]]).astype(np.float32))
 
     def code_lengths(self, column: pa.Array) -> np.ndarray:
         """Nats of each row of texts in each language."""
         data, starts = joined(column)
-        if not len(data):
-            return np.zeros((len(column), len(self.langs)))
-        a, pad = self.a, self.symbol[10]
-        s = np.concatenate([np.full(ORDER, pad, np.int64), self.symbol[data]])
-        place = np.arange(len(data)) - np.repeat(starts[:-1], np.diff(starts))
-        b, s1, s2, s3 = s[3:], *(np.where(place < k, pad, s[3 - k : len(s) - k]) for k in (1, 2, 3))
-        two = self.pair[s2 * a + s1]
-        three = self.triple[two * a + s3]
-        three[two == 0] = 0
-        at = np.where(three > 0, self.third + (three - 1) * a, np.where(two > 0, self.second + (two - 1) * a, s1 * a)) + b
-        # Each row's line feed at its end is a byte of none of them.
-        last = at[starts[1:] - 1]
-        return np.stack([t[last].astype(np.float64) - np.add.reduceat(t[at], starts[:-1], dtype=np.float64) for t in self.table], 1)
+        a, pad, out = self.a, self.symbol[10], np.zeros((len(column), len(self.langs)))
+        for low in range(0, len(data), BLOCK):  # a block's memory is bounded however long a text is
+            high = min(low + BLOCK, len(data))
+            rows = slice(int(np.searchsorted(starts, low, "right")) - 1, int(np.searchsorted(starts, high)))
+            before = np.full(ORDER, pad, np.int64)
+            before[ORDER - min(ORDER, low) :] = self.symbol[data[low - min(ORDER, low) : low]]
+            s = np.concatenate([before, self.symbol[data[low:high]]])
+            edges = np.append(np.maximum(starts[rows], low), high)
+            place = np.arange(low, high) - np.repeat(starts[rows], np.diff(edges))
+            b, s1, s2, s3 = s[3:], *(np.where(place < k, pad, s[3 - k : len(s) - k]) for k in (1, 2, 3))
+            two = self.pair[s2 * a + s1]
+            three = self.triple[two * a + s3]
+            three[two == 0] = 0
+            at = np.where(three > 0, self.third + (three - 1) * a, np.where(two > 0, self.second + (two - 1) * a, s1 * a)) + b
+            ends = starts[1:][rows] - 1 - low  # each row's line feed is a byte of no text and costs nothing
+            at[ends[ends < high - low]] = len(self.table[0]) - 1
+            for k, table in enumerate(self.table):
+                out[rows, k] -= np.add.reduceat(table[at], edges[:-1] - low, dtype=np.float64)
+        return out
 
 
 def learn(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> tuple:
@@ -142,7 +151,7 @@ _made: dict = {}
 
 def predict(df: DataFrame, model: tuple, text: str = "text") -> DataFrame:
     """df with lang_pred and score in place of its column text."""
-    kept = [c for c in df.columns if c not in (text, "lang_pred", "score")]
+    kept = others(df, text, "lang_pred", "score")
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

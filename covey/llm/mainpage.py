@@ -28,10 +28,13 @@ from __future__ import annotations
 import html as references
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .columns import others
+
 SAMPLE = 20_000
 LIMIT = 4.0
 _TOKEN = re.compile(
@@ -39,6 +42,7 @@ _TOKEN = re.compile(
     r"|<(script|style|noscript|template|svg|iframe|textarea|select|button|object|canvas|audio|video|title)\b.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)"  # with a quote that isn't closed
     r"|([^<]+|<)",
     re.S | re.I,
 )
@@ -86,15 +90,16 @@ def _boilerplate(tag: str, attributes: str, marked: bool) -> bool:
 def read(page: str | None) -> list[tuple]:
     """A page as ("tag", name, breaks a block, marked) and ("text", text, block, in a link, marked, boilerplate), in order."""
     out: list[tuple] = []
-    open_: list[tuple[str, bool, bool]] = []  # name, boilerplate, marked
-    links = 0
+    open_: list[tuple] = []  # name, boilerplate, marked, links it is in, its block element
+    held: Counter[str] = Counter()  # how many elements of a name are open
+    none = ("", False, False, 0, "body")
     for m in _TOKEN.finditer(page or ""):
-        _, closing, tag, attributes, text = m.groups()
+        _, closing, tag, attributes, closing2, tag2, attributes2, text = m.groups()
         if text is not None:
-            _, bad, marked = open_[-1] if open_ else ("", False, False)
-            block = next((t for t, _, _ in reversed(open_) if t in _BLOCKS), "body")
+            _, bad, marked, links, block = open_[-1] if open_ else none
             out.append(("text", text, block, links > 0, marked, bad))
             continue
+        closing, tag, attributes = (closing, tag, attributes) if tag else (closing2, tag2, attributes2)
         if not tag:
             continue
         tag = tag.lower()
@@ -102,8 +107,11 @@ def read(page: str | None) -> list[tuple]:
         marked = bool(open_ and open_[-1][2]) or not closing and tag in _MARKS
         out.append(("tag", "/" + tag if closing else tag, breaks, marked))
         if closing:
+            if not held[tag]:
+                continue
             for k in range(len(open_) - 1, -1, -1):
                 if open_[k][0] == tag:
+                    held.subtract(x[0] for x in open_[k:])
                     del open_[k:]
                     break
                 if open_[k][0] in _MARKS and tag not in ("body", "html"):
@@ -111,13 +119,13 @@ def read(page: str | None) -> list[tuple]:
         elif tag not in _VOID and not attributes.endswith("/"):
             if ends := _CLOSES.get(tag):
                 while open_ and open_[-1][0] in ends:
-                    open_.pop()
+                    held[open_.pop()[0]] -= 1
             elif breaks and open_ and open_[-1][0] == "p":
-                open_.pop()
-            _, bad, marked = open_[-1] if open_ else ("", False, False)
+                held[open_.pop()[0]] -= 1
+            _, bad, marked, links, block = open_[-1] if open_ else none
             inside = marked or tag in _MARKS
-            open_.append((tag, bad or _boilerplate(tag, attributes, inside), inside))
-        links = sum(t == "a" for t, _, _ in open_) if tag == "a" or closing else links
+            open_.append((tag, bad or _boilerplate(tag, attributes, inside), inside, links + (tag == "a"), tag if breaks else block))
+            held[tag] += 1
     return out
 
 
@@ -221,7 +229,7 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
 
 def main_text(df: DataFrame, weights: dict[str, float], page: str = "html", name: str = "text") -> DataFrame:
     """df with the main text of each whole page in place of it."""
-    kept = [c for c in df.columns if c not in (page, name)]
+    kept = others(df, page, name)
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(name, T.StringType())])
 
     def run(batches):

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import stored
+from .columns import others
 
 WIDTH = 576
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -124,7 +125,7 @@ def elements(page: str | None) -> list[dict]:
 
 def _mapped(df: DataFrame, column: str, fields: dict[str, str], make) -> DataFrame:
     """df with the fields that make gives for batches of a column's values, in place of that column."""
-    kept = [c for c in df.columns if c != column and c not in fields]
+    kept = others(df, column, *fields)
     added = T.StructType.fromDDL(", ".join(f"{k} {v}" for k, v in fields.items()))
     schema = T.StructType([*(df.schema[c] for c in kept), *added])
 
@@ -165,7 +166,7 @@ def take(store: DataFrame) -> DataFrame:
 def resolve(sequences: DataFrame, taken: DataFrame, name: str = "elements") -> DataFrame:
     """sequences with each element of the array name joined, by digest, with what was read back; in order."""
     facts = [c for c in taken.columns if c != "digest"]
-    kept = [c for c in sequences.columns if c != name]
+    kept = others(sequences, name)
     rows = sequences.withColumn("_row", F.monotonically_increasing_id())
     flat = rows.select("_row", *kept, F.explode_outer(name).alias("_e"))
     known = stored(taken.select(F.col("digest").alias("_digest"), F.struct(*facts).alias("_media")), "media-facts")
@@ -180,7 +181,7 @@ def payloads(docs: DataFrame, text: str = "text") -> DataFrame:
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     pad = F.when(F.length(raw) == 0, F.lit(WIDTH)).otherwise(F.pmod(-F.length(raw), F.lit(WIDTH)))
     filled = F.concat(raw, F.unhex(F.repeat(F.lit("FF"), pad)))
-    kept = [c for c in docs.columns if c not in (text, "n_bytes", "payload", "digest")]
+    kept = others(docs, text, "n_bytes", "payload", "digest")
     return docs.select(*kept, F.length(raw).cast("bigint").alias("n_bytes"), filled.alias("payload")).withColumn("digest", F.sha2("payload", 256))
 
 

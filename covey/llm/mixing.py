@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .columns import others
+
 #: Largest mean that one table of cumulated probabilities serves, and the table's length.
 PART, TERMS = 8.0, 64
 #: The table of sources is broadcast up to this count of sources, which is checked; beyond it, it is joined.
@@ -79,7 +81,7 @@ def mix(
     result, by default those of df. Adds copy (1, 2, ...) and mix_key, by whose hash copies are dealt out
     and by which they are ordered in their partition.
     """
-    kept = [c for c in df.columns if c.lower() not in ("copy", "mix_key")]
+    kept = others(df, "copy", "mix_key")
     table = rates(df, source, weights, budget)
     few = table.select("_mix_source").limit(max_broadcast + 1).count() <= max_broadcast
     drawn = df.select(*kept).join(F.broadcast(table) if few else table, F.col(source).eqNullSafe(F.col("_mix_source")))

@@ -23,6 +23,8 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .columns import others
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
 
@@ -56,7 +58,7 @@ def plain(text: str) -> list[Span]:
     if not _DIGIT.search(text):
         return found
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
             found.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
@@ -102,8 +104,8 @@ _ATS = r"(?:at|arroba)"
 _SPELLED = re.compile(rf"(?<!\w)(?:(?:plus|\+){_GAP}?)?(?:{_NAMES})(?:{_GAP}(?:{_DOTS}{_GAP})?{_UNIT}){{3,}}(?!\w)", re.I)
 _TOKEN = re.compile(rf"(plus|\+)|({_DOTS})|({_NAMES})|([0-9]+)", re.I)
 _BRACKET = re.compile(rf"\s*[\[({{<]\s*(?:(at|arroba|@)|(dot|point|punkt|punto|\.))\s*[\])}}>]\s*", re.I)
-_SPACED = re.compile(rf"(?<![\w.@+-])[A-Za-z0-9._%+-]+(\s+{_ATS}\s+|\s*@\s*)[A-Za-z0-9-]+((?:(?:\s+{_DOTS}\s+|\s*\.\s*)[A-Za-z0-9-]+)*?\s+{_DOTS}\s+)[A-Za-z0-9-]{{2,}}(?![\w-])", re.I)
-_SPACED_AT = re.compile(rf"(?<![\w.@+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*(\s+{_ATS}\s+)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.(?:com|org|net|edu|gov|info|io|de|fr|es)(?![\w-])", re.I)
+_SPACED = re.compile(rf"(?<![\w.%@+-])[A-Za-z0-9._%+-]+(\s+{_ATS}\s+|\s*@\s*)[A-Za-z0-9-]+((?:(?:\s+{_DOTS}\s+|\s*\.\s*)[A-Za-z0-9-]+)*?\s+{_DOTS}\s+)[A-Za-z0-9-]{{2,}}(?![\w-])", re.I)
+_SPACED_AT = re.compile(rf"(?<![\w.%@+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*(\s+{_ATS}\s+)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.(?:com|org|net|edu|gov|info|io|de|fr|es)(?![\w-])", re.I)
 _SEPARATE = re.compile(rf"\s+{_DOTS}\s+|\s*\.\s*", re.I)
 
 
@@ -207,7 +209,7 @@ def spans(text: str | None) -> tuple[list[Span], list[Span]]:
 def detect(df: DataFrame, text: str = "text", name: str = "spans", keep_text: bool = False) -> DataFrame:
     """df with plain_<name> and <name>, arrays of (kind, start, end), in place of its column text or beside it."""
     added = T.StructType.fromDDL(f"`plain_{name}` array<struct<kind:string,start:int,end:int>>, `{name}` array<struct<kind:string,start:int,end:int>>")
-    kept = [c for c in df.columns if c not in (*added.names, *([] if keep_text else [text]))]
+    kept = others(df, *added.names, *([] if keep_text else [text]))
     schema = T.StructType([*(df.schema[c] for c in kept), *added])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 

@@ -12,7 +12,7 @@ The classifier is fitted on about SAMPLE labelled documents, chosen by a hash of
 posteriors take all documents in. Without both kinds of labels in the sample all evidence is 0.
 
 Defined results: a null or wordless text has features of 0 and so the evidence of an empty text; a null
-host or path is a site of its own; a document with several labels counts with each; rows that repeat are
+host or path is a site of its own; a document with both labels counts with each; rows that repeat are
 scored as often as they come and count so in their sites; an empty table gives an empty table; columns of
 the input that are called like a result column are replaced, all others are carried along.
 """
@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import stored
+from .columns import others
 from .words import Words, row_sums, sliced
 
 FEATURES = ("types", "lines", "symbols", "upper", "digits", "length", "long_words", "repeats", "stops", "bars")
@@ -107,19 +108,19 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 40) ->
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> dict:
     """The classifier, from about sample labelled documents, and the share of good ones."""
     known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).where("_key IS NOT NULL AND _label IN (0, 1)")
-    counted = known.count()
-    share = min(1.0, sample / max(1, counted))
-    draw = F.pmod(F.xxhash64(F.lit("quality"), "_key"), F.lit(1 << 30))
-    known = known.where(draw < int((1 << 30) * share))
-    ids = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where(F.pmod(F.xxhash64(F.lit("quality"), "_key"), F.lit(1 << 30)) < int((1 << 30) * share))
+    share = min(1.0, sample / max(1, known.count()))
+    drawn = F.pmod(F.xxhash64(F.lit("quality"), "_key"), F.lit(1 << 30)) < int((1 << 30) * share)
+    known = known.where(drawn).distinct()
+    few = known.limit(4 * sample + 1).count() <= 4 * sample  # about sample are expected
+    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where(drawn)
+    labelled = texts.join(F.broadcast(known) if few else known, "_key").select("_text", "_label")
 
     def run(batches):
         for batch in batches:
             for part in sliced(batch, "_text"):
-                yield pa.RecordBatch.from_arrays([part.column("_key"), pa.array(list(features(part.column("_text"))), pa.list_(pa.float64()))], ["_key", "_x"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(features(part.column("_text"))), pa.list_(pa.float64())), part.column("_label")], ["_x", "_label"])
 
-    schema = T.StructType([ids.schema["_key"], T.StructField("_x", T.ArrayType(T.DoubleType()))])
-    rows = ids.mapInArrow(run, schema).join(known, "_key").select("_x", "_label").toPandas()
+    rows = labelled.mapInArrow(run, "_x array<double>, _label int").toPandas()
     if rows["_label"].nunique() < 2:
         return {"weights": None, "share": 0.5}
     x, y = np.stack(rows["_x"].to_numpy()), rows["_label"].to_numpy(float)
@@ -133,7 +134,7 @@ def logit(p):
 
 def evidence(df: DataFrame, model: dict, text: str = "text", name: str = "evidence", keep_text: bool = False) -> DataFrame:
     """df with each whole text's log odds against the share of good labels, in place of it or beside it."""
-    kept = [c for c in df.columns if c != name and (keep_text or c != text)]
+    kept = others(df, name, *([] if keep_text else [text]))
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(name, T.DoubleType())])
 
     def run(batches):

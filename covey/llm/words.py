@@ -10,6 +10,10 @@ import pyarrow as pa
 #: Bytes of text handled at once, which bounds a worker's memory; a longer text is handled alone.
 SLICE = 2 << 20
 
+#: Bytes of one text that are hashed at once, and the base of the hash with its inverse modulo 2 ** 64.
+BLOCK, BASE = 1 << 22, 0x9E3779B97F4A7C15
+UNDO = pow(BASE, -1, 1 << 64)
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -89,12 +93,16 @@ class Words:
         edge = np.diff(np.concatenate([[True], space]).view(np.int8))
         self.first = np.flatnonzero(edge == -1)
         self.end = np.flatnonzero(edge == 1)
-        coded = _BYTE[_LOWER[self.bytes]] if lower else _BYTE[self.bytes]
-        base = 0x9E3779B97F4A7C15
-        coded *= powers(base, len(coded))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(coded, dtype=np.uint64)])
-        undo = powers(pow(base, -1, 1 << 64), len(coded))
-        self.hash = mixed((sums[self.end] - sums[self.first]) * undo[self.first] if len(self.first) else np.empty(0, np.uint64))
+        self.hash = np.empty(len(self.first), np.uint64)
+        table, start = _BYTE[_LOWER] if lower else _BYTE, 0
+        while start < len(self.first):  # words that lie in one block of bytes, or one word that is longer
+            low = self.first[start]
+            stop = max(start + 1, int(np.searchsorted(self.end, low + BLOCK, "right")))
+            first, end = self.first[start:stop] - low, self.end[start:stop] - low
+            coded = table[self.bytes[low : low + end[-1]]] * powers(BASE, int(end[-1]))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(coded, dtype=np.uint64)])
+            self.hash[start:stop] = mixed((sums[end] - sums[first]) * powers(UNDO, int(first[-1]) + 1)[first])
+            start = stop
         self.rows = np.searchsorted(self.first, self.starts)
 
     def __len__(self) -> int:

@@ -20,7 +20,9 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
-def test_code_lengths_by_hand(spark):
+@pytest.mark.parametrize("block", [language.BLOCK, 7, 2])
+def test_code_lengths_by_hand(spark, monkeypatch, block):
+    monkeypatch.setattr(language, "BLOCK", block)
     docs = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id < 40")
     model = language.learn(docs)
     seen = [[Counter() for _ in range(4)] for _ in model[0]]

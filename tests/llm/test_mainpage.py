@@ -81,4 +81,5 @@ def test_odd_rows(spark):
     assert got == {1: "", None: "plain words < only", 5: ""}
     assert mainpage.main_text(df, {}).count() == 5 and mainpage.main_text(df.limit(0), {}).count() == 0
     assert re.fullmatch(r"x(\n\nx)*", mainpage.extract("<p>x" * 30000, {}))
+    assert mainpage.extract("<p>one two</p><a title=\"x>three</a><p>four</p>" + "<b>" * 20000 + "</i>" * 20000 + "five", {}).split()[:2] == ["one", "two"]
     assert html.unescape("&lt;") in mainpage.extract("<p>a &lt; b", {})

@@ -56,6 +56,13 @@ def test_ordinary_text_stays():
         assert pii.redacted(text) == text
 
 
+def test_long_runs():
+    zeros = "0" * 6000
+    assert pii.plain(f"{zeros}1.2.3.4") == [("ip", 0, 6007)]
+    for text in ("a%" * 50_000 + " at b dot", "1-" * 50_000, "one " * 20_000, "@" * 50_000, "a@" * 50_000, "+1" * 50_000, "[at]" * 20_000):
+        pii.spans(text)
+
+
 def test_rows(spark):
     rows = [Row(doc_id=1, text=None, spans="x"), Row(doc_id=None, text="", spans=None), Row(doc_id=3, text="a@b.c " * 9000, spans=None), Row(doc_id=3, text="a@b.c " * 9000, spans=None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
