@@ -86,7 +86,7 @@ def rank_filter(spark, sf_dir):
 @query("""SELECT o_orderkey, CAST(epoch(o_orderdate + INTERVAL 90 SECOND) - epoch(o_orderdate) AS BIGINT) AS seconds, 'n' || lower(o_orderpriority) AS slug FROM orders WHERE o_orderkey % 3 = 0""")
 def step_durations(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0")
-    start = F.col("o_orderdate").cast("timestamp")
+    start = F.col("o_orderdate").cast("timestamp_ntz")
     took = F.timestamp_diff("SECOND", start, F.timestamp_add("SECOND", F.lit(90), start))
     return rows.select("o_orderkey", took.alias("seconds"), F.concat(F.lit("n"), text.key(F.col("o_orderpriority"))).alias("slug"))
 

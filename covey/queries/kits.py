@@ -44,7 +44,7 @@ def date_kit(spark, sf_dir):
         text.decade(F.col("d")).alias("decade"),
         F.quarter("o_orderdate").alias("quarter"),
         F.date_format("o_orderdate", "yyyy.MM").alias("version"),
-        F.timestamp_diff("SECOND", F.lit("1995-01-01").cast("timestamp"), F.col("o_orderdate").cast("timestamp")).alias("seconds"),
+        F.timestamp_diff("SECOND", F.lit("1995-01-01").cast("timestamp_ntz"), F.col("o_orderdate").cast("timestamp_ntz")).alias("seconds"),
     )
 
 
