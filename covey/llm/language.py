@@ -38,6 +38,12 @@ UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a text has a character that Unicode calls a letter; numerals such as a superscript 2 are none."""
+    found = _LETTER.search(text) if text else None
+    return found is not None and (found.group().isalpha() or any(map(str.isalpha, text)))
+
+
 def _grams(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Each byte of the rows with the three before it, as one number; line feeds stand before a row."""
     padded = np.concatenate([np.full(ORDER, 10, np.uint8), data]).astype(np.uint32)
@@ -161,7 +167,7 @@ def predict(df: DataFrame, model: tuple, text: str = "text") -> DataFrame:
         for batch in batches:
             for part in sliced(batch, text, 1 << 20):
                 column = part.column(text)
-                letters = np.array([x is not None and _LETTER.search(x) is not None for x in column.to_pylist()], bool)
+                letters = np.array([has_letter(x) for x in column.to_pylist()], bool)
                 names, scores = np.array([UNKNOWN] * len(column), object), np.zeros(len(column))
                 if trees is not None and letters.any():
                     bits = trees.code_lengths(column)

@@ -58,6 +58,10 @@ def test_grams(spark):
     assert {(langs[a], int(g).to_bytes(4, "big")): c for a, g, c in zip(lang, gram, n)} == dict(want)
 
 
+def test_letters():
+    assert [language.has_letter(x) for x in (None, "", "12 _!", "²½Ⅷ", "² é", "日", "a")] == [False, False, False, False, True, True, True]
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "en", "x"), (2, "", "en", "x"), (3, "12 !?", "en", "x"), (None, "the and the", None, "x"), (5, "the " * 100_000, "en", "x"), (5, "der die das", "de", "x")], "doc_id long, text string, lang string, score string")
     out = language.predict(docs, language.learn(docs)).collect()
