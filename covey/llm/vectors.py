@@ -1,17 +1,21 @@
 """Near-duplicate embeddings by sorted projection passes.
 
-Equal vectors are one point from the start, with a count. In each of PASSES passes every point gets a key
-of 62 bits, which are the signs of its products with random directions of that pass. Points are ordered by
-these keys, dealt out by ranges of them, and each is compared with the next NEIGHBOURS points in order.
-Pairs with a cosine of at least the threshold, in double precision, are verified links; the union of all
+Equal vectors are one point from the start, with a count. In each pass every point gets a key of 62 bits,
+which are the signs of its products with random directions of that pass. Points are ordered by these keys
+and dealt out by ranges of their first bits, so that no range ends within a bucket, the points that share
+the first depth() bits. Each point is compared with the next NEIGHBOURS points in order; pairs with a
+cosine of at least the threshold, in double precision, are links. A bucket of more points than these is
+too crowded to be met by windows: its points are strung together, whatever their cosines. The union of all
 passes' links gives families. In a family all pairs are then compared, a family of more than BLOCK points
 in blocks, each with each, so that its links and their counts are whole even where a family is larger than
-any window of neighbours.
+any window of neighbours, and what was only strung together counts for nothing.
 
-Recall: two vectors at the threshold of 0.95 agree in a bit with a chance of 0.9 and in the first b bits
-with 0.9 ** b; with N points they are in one window about when they agree in the first log2(N /
-NEIGHBOURS) bits, which for a million points is 0.28 in a pass, and 0.9996 in one of all passes; of nearer
-pairs, and where a family has a chain between the two, more. The number of passes is a parameter.
+Recall: two vectors at the threshold agree in a bit with a chance of 1 - acos(threshold) / pi, 0.9 at 0.95,
+and share a bucket with that to the power of depth(). A pair that shares a bucket in any pass is compared,
+in a window or in a family, however many others lie around it. depth() grows with the logarithm of the
+points and needed() gives as many passes as leave out a share of MISS of such pairs, at least PASSES; nearer
+pairs and pairs of one family are met more often. Where many vectors lie around one direction their buckets
+make one family, which costs the square of its size.
 
 Defined results: a vector that is null, empty, of length zero, or holds a null or a number that is not
 finite, is linked with nothing; vectors of different lengths are not compared; rows without an id have no
@@ -21,6 +25,8 @@ empty table gives an empty table; columns beside the id and the vector don't mat
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -32,6 +38,19 @@ from .linking import components, forest
 PASSES, NEIGHBOURS, BLOCK, BITS = 24, 256, 2000, 62
 #: Bytes of points that a partition of sorted keys should hold, which bounds a task's memory.
 PART = 24 << 20
+#: Buckets of vectors that are spread evenly hold about 2 ** -SPARE of a window; share of pairs at the threshold never met.
+SPARE, MISS = 3, 1e-4
+
+
+def depth(points: int, reach: int) -> int:
+    """Bits of a key that name its bucket."""
+    return min(BITS, max(0, math.ceil(math.log2(max(1, points) / reach)) + SPARE))
+
+
+def needed(bits: int, threshold: float) -> int:
+    """Passes after which all but MISS of the pairs at the threshold have shared a bucket of so many bits."""
+    meet = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return PASSES if meet >= 1 else max(PASSES, math.ceil(math.log(MISS) / math.log1p(-meet)))
 
 
 def directions(turn: int, size: int) -> np.ndarray:
@@ -85,13 +104,17 @@ def keyed(points: DataFrame, passes: int) -> DataFrame:
     return points.select("point", "vector").mapInArrow(run, "turn int, key long, point long, vector binary")
 
 
-def neighbours(rows: DataFrame, threshold: float, reach: int) -> DataFrame:
-    """Verified links among points at most reach apart in their partition's order."""
+def neighbours(rows: DataFrame, threshold: float, reach: int, bits: int) -> DataFrame:
+    """Links that hold families together: verified ones among points at most reach apart, and those along a crowded bucket.
+
+    In a bucket of more than reach points, each from there on is tied to the one before it and the one reach
+    before it; a point that neither ties is at most reach apart from all others of its bucket.
+    """
 
     def run(batches):
         state = None
 
-        def links(x: np.ndarray, ids: np.ndarray, new: int):
+        def links(x: np.ndarray, ids: np.ndarray, bucket: np.ndarray, new: int):
             """Of the last new points with all before them in reach."""
             a, b = [], []
             for start in range(max(0, len(x) - new), len(x), reach):
@@ -102,27 +125,29 @@ def neighbours(rows: DataFrame, threshold: float, reach: int) -> DataFrame:
                 keep = (j < i) & (i - j <= reach)
                 a.append(i[keep])
                 b.append(j[keep])
-            if not a:
-                return None
+            late = np.arange(max(reach, len(x) - new), len(x))
+            late = late[bucket[late] == bucket[late - reach]]
+            a += [late, late]
+            b += [late - 1, late - reach]
             label = forest(len(x), np.concatenate(a), np.concatenate(b))
             far = np.flatnonzero(label != np.arange(len(x)))
             return pa.RecordBatch.from_arrays([pa.array(ids[label[far]]), pa.array(ids[far])], ["a", "b"]) if len(far) else None
 
         for batch in batches:
-            turns, ids, raw = np.asarray(batch.column("turn")), np.asarray(batch.column("point")), batch.column("vector").to_pylist()
+            turns, keys, ids, raw = np.asarray(batch.column("turn")), np.asarray(batch.column("key")), np.asarray(batch.column("point")), batch.column("vector").to_pylist()
             sizes = np.array([len(x) for x in raw], np.int64)
-            for size in np.unique(sizes):
-                for turn in np.unique(turns[sizes == size]):
-                    at = np.flatnonzero((turns == turn) & (sizes == size))
-                    x, own = units([raw[k] for k in at]), ids[at]
-                    if state is not None and state[0] == (turn, size):
-                        x, own = np.concatenate([state[1], x]), np.concatenate([state[2], own])
-                    out = links(x, own, len(at))
-                    state = ((turn, size), x[-reach:], own[-reach:])
-                    if out is not None:
-                        yield out
+            ends = [*(np.flatnonzero((np.diff(turns) != 0) | (np.diff(sizes) != 0)) + 1), len(raw)] if raw else []
+            for start, stop in zip([0, *ends], ends):
+                mine = (turns[start], sizes[start])
+                x, own, bucket = units(raw[start:stop]), ids[start:stop], keys[start:stop] >> (BITS - bits)
+                if state is not None and state[0] == mine:
+                    x, own, bucket = (np.concatenate(pair) for pair in zip(state[1:], (x, own, bucket)))
+                out = links(x, own, bucket, stop - start)
+                state = (mine, x[-reach:], own[-reach:], bucket[-reach:])
+                if out is not None:
+                    yield out
 
-    return rows.select("turn", "point", "vector").mapInArrow(run, "a long, b long")
+    return rows.select("turn", "key", "point", "vector").mapInArrow(run, "a long, b long")
 
 
 def counted(families: DataFrame, points: DataFrame, threshold: float) -> DataFrame:
@@ -156,16 +181,19 @@ def counted(families: DataFrame, points: DataFrame, threshold: float) -> DataFra
     return tasks.groupBy("family", "_i", "_j").applyInPandas(run, "point long, n_links long, least long")
 
 
-def near_vectors(df: DataFrame, vector: str = "embedding", key: str = "vec_id", threshold: float = 0.95, passes: int = PASSES, reach: int = NEIGHBOURS) -> DataFrame:
-    """For each row vec_id, n_links, component_id (the smallest id reachable by links) and kept."""
+def near_vectors(df: DataFrame, vector: str = "embedding", key: str = "vec_id", threshold: float = 0.95, passes: int | None = None, reach: int = NEIGHBOURS) -> DataFrame:
+    """For each row vec_id, n_links, component_id (the smallest id reachable by links) and kept; passes are needed() unless given."""
     rows = read(df, vector, key)
     marked = stored(rows.withColumn("point", F.xxhash64("vector")), "vectors")
     known = marked.where("vector IS NOT NULL AND vec_id IS NOT NULL")
     points = stored(known.groupBy("point").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"), F.first("vector").alias("vector")), "points")
     total = points.agg(F.count(F.lit(1)), F.sum(F.octet_length("vector"))).first()
+    bits = depth(total[0], reach)
+    passes = passes or needed(bits, threshold)
     parts = max(spark_parts(df), -(-(total[1] or 0) * passes // PART))
-    ordered = keyed(points, passes).repartitionByRange(parts, "turn", "key", "point").sortWithinPartitions("turn", "key", "point")
-    families = stored(components(neighbours(ordered, threshold, reach)).withColumnsRenamed({"node": "point", "component": "family"}), "families")
+    rows = keyed(points, passes).withColumns({"_size": F.octet_length("vector"), "_bucket": F.shiftright("key", BITS - bits)})
+    ordered = rows.repartitionByRange(parts, "turn", "_size", "_bucket").sortWithinPartitions("turn", "_size", "key", "point")
+    families = stored(components(neighbours(ordered, threshold, reach, bits)).withColumnsRenamed({"node": "point", "component": "family"}), "families")
     whole = stored(counted(families, points, threshold), "links")
     links = whole.groupBy("point").agg(F.sum("n_links").alias("_links"))
     linked = components(whole.select(F.col("point").alias("a"), F.col("least").alias("b")).where("a <> b")).withColumnsRenamed({"node": "point", "component": "group"})

@@ -64,3 +64,19 @@ def test_odd_rows(spark):
     out = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, point int")).collect()
     assert sorted(map(tuple, out), key=str) == sorted([(None, 0, None, False), (3, 2, 2, False), (3, 2, 2, False), (2, 2, 2, True)], key=str)
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_crowded_around_one_direction(spark):
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    around = unit(np.sqrt(0.9) * unit(rng.normal(size=64)) + np.sqrt(0.1) * unit(rng.normal(size=(4000, 64))))
+    beside = unit(rng.normal(size=(200, 64)))
+    beside = unit(beside - (beside * around[:200]).sum(1, keepdims=True) * around[:200])
+    rows = np.concatenate([around, 0.955 * around[:200] + np.sqrt(1 - 0.955**2) * beside]).tolist()
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    assert got(df, reach=16) == brute(range(len(rows)), rows)
+
+
+def test_passes_grow_with_the_points():
+    bits = [vectors.depth(n, vectors.NEIGHBOURS) for n in (0, 1000, 1_000_000, 1_000_000_000)]
+    assert bits == sorted(bits) and vectors.needed(bits[0], 0.95) == vectors.PASSES < vectors.needed(bits[2], 0.95) < vectors.needed(bits[3], 0.95)
