@@ -106,6 +106,9 @@ _TOKEN = re.compile(rf"(plus|\+)|({_DOTS})|({_NAMES})|([0-9]+)", re.I)
 _BRACKET = re.compile(rf"\s*[\[({{<]\s*(?:(at|arroba|@)|(dot|point|punkt|punto|\.))\s*[\])}}>]\s*", re.I)
 _SPACED = re.compile(rf"(?<![\w.%@+-])[A-Za-z0-9._%+-]+(\s+{_ATS}\s+|\s*@\s*)[A-Za-z0-9-]+((?:(?:\s+{_DOTS}\s+|\s*\.\s*)[A-Za-z0-9-]+)*?\s+{_DOTS}\s+)[A-Za-z0-9-]{{2,}}(?![\w-])", re.I)
 _SPACED_AT = re.compile(rf"(?<![\w.%@+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*(\s+{_ATS}\s+)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.(?:com|org|net|edu|gov|info|io|de|fr|es)(?![\w-])", re.I)
+#: What a text must have for the patterns above to match; never narrower than they are.
+_BRACKETED = re.compile(rf"[\[({{<]\s*(?:at|arroba|@|{_DOTS}|\.)\s*[\])}}>]", re.I)
+_AT_WORD, _DOT_WORD = re.compile(rf"\s{_ATS}\s", re.I), re.compile(_DOTS, re.I)
 _SEPARATE = re.compile(rf"\s+{_DOTS}\s+|\s*\.\s*", re.I)
 
 
@@ -177,16 +180,16 @@ def disguised(text: str) -> list[Span]:
     """Identifiers that only show after rewriting, mapped back to the text."""
     low = text.lower()
     odd = not text.isascii() and _ODD.search(text) is not None
-    dots = any(w in low for w in ("dot", "point", "punkt", "punto"))
-    ats = "@" in text or " at " in low or "arroba" in low or "]" in text or ")" in text
-    marks = ats and (dots or _BRACKET.search(text) is not None or _SPACED_AT.search(text) is not None)
+    dots = any(w in low for w in ("dot", "point", "punkt", "punto")) or not text.isascii() and _DOT_WORD.search(text) is not None
+    ats = "@" in text or _AT_WORD.search(text) is not None
+    marks = any(c in text for c in "[({<") and _BRACKETED.search(text) is not None or ats and (dots or _SPACED_AT.search(text) is not None)
     for c in ",;/_-.":
         low = low.replace(c, " ")
     words = not _SURE.isdisjoint(low.split()) and _SPELLED.search(text) is not None
     if not (odd or marks or words):
         return []
     made = Rewritten(text)
-    for step, on in ((look_alikes, odd), (spelled_digits, words or odd), (at_and_dot, marks or odd)):
+    for step, on in ((look_alikes, odd), (spelled_digits, words or odd), (at_and_dot, True)):
         if on:
             made = step(made)
     if made.text == text:

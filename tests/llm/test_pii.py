@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import Row
 
@@ -78,3 +79,13 @@ def test_query(spark):
         want = sorted(brute(text), key=lambda s: (pii.KINDS.index(s[0]), s[1]))
         assert got[doc_id]["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
         assert [got[doc_id][f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in want) for k in pii.KINDS]
+
+
+@pytest.mark.parametrize("text", ["jane {at} example {dot} com", "jane<at>example<dot>com", "jane{at}example.com", "jane at\nexample dot com", "jane\tat\texample\tdot\tcom", "jane at\nexample.com"])
+def test_disguises_need_no_other_mark(text):
+    assert pii.spans(text)[1] == [("email", 0, len(text))]
+    assert pii.redacted(f"to {text}") == "to [EMAIL]"
+
+
+def test_bracketed_dots_of_an_address_of_numbers():
+    assert pii.spans("10{.}0{.}0{.}1")[1] == [("ip", 0, 14)]
