@@ -5,7 +5,8 @@ look like ASCII ones (other scripts, full width, mathematical), digits of any sc
 characters, bracketed or spaced at and dot, digits spelled as words. Each rewriting keeps, for every
 character it gives, the range of source characters that it came from, and two are chained by mapping
 ranges through. Identifiers are detected in the rewritten text and their spans are mapped back to the
-source. Spans found so are added where they meet no plain one; plain ones always stay.
+source. Spans found so are added where they reach beyond each plain one that they meet, which may be a part
+of the disguised one; plain ones always stay, and redaction takes overlapping spans as one.
 
 A span is (kind, start, end) in code points, the end exclusive. Kinds, in the order of results: email, ip,
 card, phone.
@@ -204,7 +205,7 @@ def spans(text: str | None) -> tuple[list[Span], list[Span]]:
     base = plain(text)
     extra: list[Span] = []
     for s in disguised(text):
-        if all(s[2] <= x[1] or s[1] >= x[2] for x in [*base, *extra]):
+        if all(s[1] < x[1] or s[2] > x[2] for x in base) and all(s[2] <= x[1] or s[1] >= x[2] for x in extra):
             extra.append(s)
     return order(base), order(base + extra)
 

@@ -89,3 +89,16 @@ def test_disguises_need_no_other_mark(text):
 
 def test_bracketed_dots_of_an_address_of_numbers():
     assert pii.spans("10{.}0{.}0{.}1")[1] == [("ip", 0, 14)]
+
+
+@pytest.mark.parametrize("text,tail", [("j\u043ehn.doe@example.com", 2), ("john[dot]doe@example.com", 9), ("j\u043ehn@10.0.0.1", 2)])
+def test_disguised_local_part(text, tail):
+    base, found = pii.spans(f"to {text} now")
+    assert ("email", 3 + tail, 3 + len(text)) in base and set(base) < set(found)
+    assert ("email", 3, 3 + len(text)) in found
+    assert pii.redacted(f"to {text} now") == "to [EMAIL] now"
+
+
+def test_plain_identifiers_are_not_doubled():
+    base, found = pii.spans("j\u043ehn at a@b.example and +49 30 1234567, \u0430 c@d.example")
+    assert base == found and len(base) == 3
