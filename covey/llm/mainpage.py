@@ -18,7 +18,8 @@ line. A line break is white space. Runs of words are scored at once, as all word
 same class.
 
 Defined results: a null, empty or wordless page has an empty text; a tag or comment that is cut off at the
-end of the page is markup; ties go to the range that starts first, and then to the shorter one; rows that
+end of the page is markup; an element that is left out, but isn't raw text, is read as any other if it has no
+end tag, and is empty if its tag closes itself; ties go to the range that starts first, and then to the shorter one; rows that
 repeat are read as often as they come; columns of the input that are called like a result column are
 replaced, all others are carried along.
 """
@@ -39,13 +40,16 @@ SAMPLE = 20_000
 LIMIT = 4.0
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|textarea|select|button|object|canvas|audio|video|title)\b.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)"  # with a quote that isn't closed
     r"|([^<]+|<)",
     re.S | re.I,
 )
+#: Elements that are left out up to their end tag; without one, those of raw text go to the end of the page.
+_RAW = frozenset("script style textarea title iframe".split())
+_LEFT_OUT = _RAW | frozenset("noscript template svg select button object canvas audio video".split())
+_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in _LEFT_OUT}
 _NAMES = re.compile(r"(?:\bclass|\bid|\brole|\baria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 #: Names of elements, classes, ids and roles that are no article.
@@ -93,8 +97,11 @@ def read(page: str | None) -> list[tuple]:
     open_: list[tuple] = []  # name, boilerplate, marked, links it is in, its block element
     held: Counter[str] = Counter()  # how many elements of a name are open
     none = ("", False, False, 0, "body")
-    for m in _TOKEN.finditer(page or ""):
-        _, closing, tag, attributes, closing2, tag2, attributes2, text = m.groups()
+    endless: set[str] = set()  # names without an end tag from here on
+    page, at = page or "", 0
+    while m := _TOKEN.match(page, at):
+        at = m.end()
+        closing, tag, attributes, closing2, tag2, attributes2, text = m.groups()
         if text is not None:
             _, bad, marked, links, block = open_[-1] if open_ else none
             out.append(("text", text, block, links > 0, marked, bad))
@@ -103,6 +110,15 @@ def read(page: str | None) -> list[tuple]:
         if not tag:
             continue
         tag = tag.lower()
+        if not closing and tag in _LEFT_OUT:
+            if attributes.endswith("/") and (tag == "iframe" or tag not in _RAW):
+                continue
+            if tag not in endless and (end := _END[tag].search(page, at)):
+                at = end.end()
+                continue
+            if tag in _RAW:
+                break
+            endless.add(tag)
         breaks = tag in _BLOCKS
         marked = bool(open_ and open_[-1][2]) or not closing and tag in _MARKS
         out.append(("tag", "/" + tag if closing else tag, breaks, marked))

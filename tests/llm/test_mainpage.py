@@ -83,3 +83,13 @@ def test_odd_rows(spark):
     assert re.fullmatch(r"x(\n\nx)*", mainpage.extract("<p>x" * 30000, {}))
     assert mainpage.extract("<p>one two</p><a title=\"x>three</a><p>four</p>" + "<b>" * 20000 + "</i>" * 20000 + "five", {}).split()[:2] == ["one", "two"]
     assert html.unescape("&lt;") in mainpage.extract("<p>a &lt; b", {})
+
+
+def test_tags_that_leave_nothing_out():
+    page = "<article><p>one two three</p>{}<p>four five six</p></article>"
+    for tag in ("<svg-icon></svg-icon>", "<button-link>", "<svg class=i/>", "<svg/>", "<iframe src=x />", "<button>", "<video src='a>b'>"):
+        assert mainpage.extract(page.format(tag), {}) == "one two three\n\nfour five six", tag
+    for element in ("<svg><path/>no</svg >", "<BUTTON type=x>no</Button>", "<script>a < b; '<p>no</p>'</script>", "<iframe>no</iframe>", "<script src=/a/>no</script>"):
+        assert mainpage.extract(page.format(element), {}) == "one two three\n\nfour five six", element
+    assert mainpage.extract(page.format("<script>"), {}) == "one two three"
+    assert [t[1] for t in mainpage.read(page.format("<button>" * 20_000)) if t[0] == "text"] == ["one two three", "four five six"]
