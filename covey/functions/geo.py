@@ -96,8 +96,8 @@ def half_up(x: Column) -> Column:
 
 
 # Regions of the world in the order they are tried. Bounds (south, north, west, east) are
-# exclusive, None is no bound; a row holds for points inside all of its bounds. The exception to that,
-# 25 degrees north in Central America, is inclusive and has a row of its own.
+# exclusive, None is no bound; a row holds for points inside all of its bounds. North is inclusive in the
+# regions of UP_TO.
 REGIONS: tuple[tuple[str, float | None, float | None, float | None, float | None], ...] = (
     ("atlantic", 60, None, -60, -10),
     ("atlantic", 30, 45, -35, -15),
@@ -107,7 +107,6 @@ REGIONS: tuple[tuple[str, float | None, float | None, float | None, float | None
     ("na-west", 25, None, -170, -100),
     ("na-east", 25, None, -170, -50),
     ("central-america", 5, 25, -120, -55),
-    ("central-america =25", 25, 25, -120, -55),
     ("sa-north", 0, None, -85, -30),
     ("sa-south", -60, None, -85, -30),
     ("pacific", -5, 5, -95, -85),
@@ -123,35 +122,24 @@ REGIONS: tuple[tuple[str, float | None, float | None, float | None, float | None
     ("indian", -40, 30, 40, 120),
     ("sub-antarctic", None, -40, None, None),
 )
+UP_TO = frozenset(("central-america",))
 ELSEWHERE = "remote"
 
 
-def region_rows():
-    """REGIONS as (name, [(axis, operator, bound)])."""
-    for name, south, north, west, east in REGIONS:
-        exact = name.endswith("=25")
-        tests = [("lat", "=", north)] if exact else [("lat", ">", south), ("lat", "<", north)]
-        tests += [("lon", ">", west), ("lon", "<", east)]
-        yield name.split()[0], [t for t in tests if t[2] is not None]
-
-
 def continent(lat: Column, lon: Column) -> Column:
     """The first region of REGIONS that holds the point."""
-    out, rows = F.lit(ELSEWHERE), list(region_rows())
-    for name, tests in reversed(rows):
+    out = F.lit(ELSEWHERE)
+    for name, south, north, west, east in reversed(REGIONS):
         holds = F.lit(True)
-        for axis, op, bound in tests:
-            x = lat if axis == "lat" else lon
-            holds = holds & {"=": x == bound, ">": x > bound, "<": x < bound}[op]
+        for x, low, high, closed in ((lat, south, north, name in UP_TO), (lon, west, east, False)):
+            if low is not None:
+                holds = holds & (x > low)
+            if high is not None:
+                holds = holds & ((x <= high) if closed else (x < high))
         out = F.when(holds, F.lit(name)).otherwise(out)
     return out
 
 
-def continent_sql(lat: str, lon: str) -> str:
-    cases = " ".join("WHEN " + " AND ".join(f"{lat if axis == 'lat' else lon} {op} {bound}" for axis, op, bound in tests) + f" THEN '{name}'" for name, tests in region_rows())
-    return f"CASE {cases} ELSE '{ELSEWHERE}' END"
-
-
 # The names of planned regions by their centre, in the order they are tried, bounds inclusive:
 # (name, west, east, south, north); and parts of two of them by the longitude that they lie west of.
 CENTRES = (

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..storage import stored
+
 
 def with_fallback(points: DataFrame, rows: DataFrame, levels: list[tuple[int, str]], keys: list[str], point: str, least: Column | None = None) -> DataFrame:
     """Each point's first row, from the first of levels (resolution, the point's column with its cell) on, that rows have.
@@ -58,14 +62,30 @@ def filter_mode(base: DataFrame, given: DataFrame, on: str, mode: str) -> DataFr
     return {"replace": b.distinct(), "strict": a.intersect(b)}[mode]
 
 
-def by_rules(df: DataFrame, include: DataFrame, exclude: DataFrame, on: list[str]) -> DataFrame:
-    """Rows that match a rule of include and none of exclude; rules have values of some of the columns in on, null for any."""
-    from functools import reduce
+#: So many rules are tried one by one against each row; more are met by joins on what they name.
+MAX_RULES = 200
+
+
+def by_rules(df: DataFrame, include: DataFrame, exclude: DataFrame, on: list[str], most: int = MAX_RULES) -> DataFrame:
+    """Rows that match a rule of include and none of exclude; rules have values of some of the columns in on, null for any.
+
+    A table of up to most rules, which is counted, goes to each task. A larger one is met by equi-joins, one
+    for each set of columns that rules may name, which are two to the power of a few columns."""
 
     def meets(rules: DataFrame, how: str, left: DataFrame) -> DataFrame:
-        renamed = rules.select(*(F.col(c).alias(f"_r_{c}") for c in on))
-        match = reduce(lambda x, y: x & y, (F.col(f"_r_{c}").isNull() | (F.col(c) == F.col(f"_r_{c}")) for c in on))
-        return left.join(F.broadcast(renamed), match, how)  # a rule table is written by hand
+        renamed = rules.select(*(F.col(c).alias(f"_r_{c}") for c in on)).distinct()
+        if rules.limit(most + 1).count() <= most:
+            match = reduce(lambda x, y: x & y, (F.col(f"_r_{c}").isNull() | (F.col(c) == F.col(f"_r_{c}")) for c in on))
+            return left.join(F.broadcast(renamed), match, how)
+        columns = left.columns
+        out = left.withColumn("_met", F.lit(False))
+        for k in range(1 << len(on)):
+            named = [c for j, c in enumerate(on) if k >> j & 1]
+            which = reduce(lambda x, y: x & y, (F.col(f"_r_{c}").isNotNull() if c in named else F.col(f"_r_{c}").isNull() for c in on))
+            some = renamed.where(which).select(*(F.col(f"_r_{c}").alias(f"_m_{c}") for c in named), F.lit(True).alias("_hit"))
+            on_these = reduce(lambda x, y: x & y, (F.col(c) == F.col(f"_m_{c}") for c in named), F.lit(True))
+            out = out.join(some, on_these, "left").withColumn("_met", F.col("_met") | F.col("_hit").isNotNull()).select(*columns, "_met")
+        return out.where("_met" if how == "left_semi" else "NOT _met").select(*columns)
 
     return meets(exclude, "left_anti", meets(include, "left_semi", df))
 
@@ -73,7 +93,7 @@ def by_rules(df: DataFrame, include: DataFrame, exclude: DataFrame, on: list[str
 def insert_or_ignore(rows: list[dict], unique: list[tuple[str, ...]]) -> list[dict]:
     """Rows in order, without those that repeat any unique key of a row kept before; null keys never clash.
 
-    A row that is ignored doesn't block later ones, so the order matters and this runs where the rows are."""
+    A row that is ignored doesn't block later ones. For rows at hand; inserted() does so for a table."""
     seen: list[set] = [set() for _ in unique]
     out = []
     for row in rows:
@@ -83,3 +103,28 @@ def insert_or_ignore(rows: list[dict], unique: list[tuple[str, ...]]) -> list[di
             for k, s in zip(keys, seen, strict=True):
                 s.add(k)
     return out
+
+
+def inserted(df: DataFrame, order: Column, unique: list[tuple[str, ...]]) -> DataFrame:
+    """What insert_or_ignore keeps of a table's rows, by a total order, in rounds.
+
+    In each round a row is kept if no undecided row before it shares a key with it, and a row that shares one
+    with a kept row before it is ignored; the first undecided row is always kept, so the rounds end. Random
+    orders take about as many rounds as the logarithm of the rows."""
+    rows = stored(df.withColumn("_order", order), "insert-rows")
+    entries = F.array(*(F.struct(F.lit(k).alias("which"), F.to_json(F.array(*(F.col(c).cast("string") for c in u))).alias("value")) for k, u in enumerate(unique)))
+    known = [reduce(lambda x, y: x & y, (F.col(c).isNotNull() for c in u)) for u in unique]
+    keys = F.filter(F.transform(F.arrays_zip(entries.alias("e"), F.array(*known).alias("k")), lambda x: F.when(x["k"], x["e"])), lambda x: x.isNotNull())
+    open_ = stored(rows.select("_order", F.explode_outer(keys).alias("key")), "insert-keys")
+    kept = []
+    while True:
+        least = open_.where("key IS NOT NULL").groupBy("key").agg(F.min("_order").alias("_least"))
+        judged = open_.join(least, "key", "left").groupBy("_order").agg(F.min(F.coalesce(F.col("_order") == F.col("_least"), F.lit(True))).alias("_first"))
+        judged = stored(judged.where("_first").select("_order"), "insert-kept")
+        kept.append(judged)
+        taken = open_.join(judged, "_order", "left_semi").where("key IS NOT NULL").select("key").distinct()
+        gone = open_.join(taken, "key", "left_semi").select("_order").distinct().unionByName(judged).distinct()
+        open_ = stored(open_.join(gone, "_order", "left_anti"), "insert-keys")
+        if not open_.limit(1).count():
+            break
+    return rows.join(reduce(DataFrame.unionByName, kept), "_order", "left_semi").select(*df.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import scores
 
@@ -29,32 +29,53 @@ def effort(df: DataFrame, cell: list[str], checklist: str = "checklist") -> Data
 
 
 def frequencies(df: DataFrame, cell: list[str], taxon: list[str], checklist: str = "checklist") -> DataFrame:
-    """Share of a cell's checklists that report a taxon.
-
-    Both distinct counts start from the input, where a checklist's records stand together, so that partial
-    aggregation drops most of them before anything is shuffled. Rows with a null key are no observation of a
-    cell and go."""
-    known = df.select(*cell, *taxon, checklist).dropna()
-    totals = known.select(*cell, checklist).distinct().groupBy(*cell).agg(F.count(F.lit(1)).alias("cell_checklists"))
-    seen = known.distinct().groupBy(*cell, *taxon).agg(F.count(F.lit(1)).alias("taxon_checklists"))
-    return seen.join(totals, cell).withColumn("frequency", F.col("taxon_checklists") / F.col("cell_checklists"))
-
-
-def at_resolutions(df: DataFrame, cells: dict[int, str], others: list[str]) -> DataFrame:
-    """Each row once for each resolution, as (resolution, cell) and the others."""
-    finest = df.select(*cells.values(), *others).dropna()
-    levels = F.array(*(F.struct(F.lit(r).alias("resolution"), F.col(c).cast("long").alias("cell")) for r, c in cells.items()))
-    return finest.select(F.explode(levels).alias("_level"), *others).select("_level.*", *others)
-
-
-def yearly_mean(monthly: DataFrame, keys: list[str]) -> DataFrame:
-    """The mean of the months that have data, the sum of their checklists, and the quality score."""
-    out = monthly.groupBy(*keys).agg(F.avg("frequency").alias("yearly_frequency"), F.sum("cell_checklists").alias("checklists"), F.count(F.lit(1)).alias("months"))
+    """Share of a cell's checklists that report a taxon. Rows with a null key are no observation of a cell and go."""
+    return multi_frequencies(df, {None: cell[0]}, cell[1:], {None: taxon}, checklist).withColumnsRenamed({"cell": cell[0]}).drop("resolution")
+
+
+def multi_frequencies(df: DataFrame, cells: dict, others: list[str], taxa: dict, checklist: str = "checklist") -> DataFrame:
+    """Share of a cell's checklists that report a taxon, at each resolution of cells (resolution: column).
+
+    taxa: the taxon's columns under the key None, or else names of ranks and the column of each, which make
+    one column taxon, "rank:name". others: further keys of a cell, such as the month. Rows with a null key go.
+
+    The rows are dealt out once, by checklist, before they are fanned out over ranks and resolutions; what
+    is distinct in a checklist is then found where it lies, and counts are added up before they move. A row
+    without a taxon stands for the checklist itself, so that the input is read once; a cell's total reaches
+    its taxa by a window, which holds no more rows than there are taxa."""
+    named = None not in taxa
+    names = ["taxon"] if named else taxa[None]
+    held = [*(taxa.values() if named else names), checklist]
+    rows = df.select(*dict.fromkeys([*cells.values(), *others, *held])).dropna().repartition(F.col(checklist))
+    if named:
+        kinds = F.array(F.lit(None).cast("string"), *(F.concat(F.lit(f"{k}:"), F.col(c).cast("string")) for k, c in taxa.items()))
+        rows = rows.select(*cells.values(), *others, checklist, F.explode(kinds).alias("taxon"), F.lit(True).alias("_one"))
+        rows = rows.withColumn("_one", F.col("taxon").isNotNull())
+    else:
+        rows = rows.withColumn("_one", F.explode(F.array(F.lit(False), F.lit(True))))
+        rows = rows.withColumns({c: F.when(F.col("_one"), F.col(c)) for c in names})
+    if None not in cells:
+        levels = F.array(*(F.struct(F.lit(r).alias("resolution"), F.col(c).cast("long").alias("cell")) for r, c in cells.items()))
+        rows = rows.withColumn("_level", F.explode(levels)).select("_level.*", *others, *names, "_one", checklist)
+    else:
+        rows = rows.withColumnRenamed(cells[None], "cell").withColumn("resolution", F.lit(0))
+    place = ["resolution", "cell", *others]
+    once = rows.select(*place, *names, "_one", checklist).distinct()
+    counted = once.groupBy(*place, *names, "_one").agg(F.count(F.lit(1)).alias("taxon_checklists"))
+    total = F.max(F.when(~F.col("_one"), F.col("taxon_checklists"))).over(Window.partitionBy(*place))
+    out = counted.withColumn("cell_checklists", total).where("_one").drop("_one")
+    return out.withColumn("frequency", F.col("taxon_checklists") / F.col("cell_checklists"))
+
+
+def yearly_mean(monthly: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """The mean of the months that have data, the taxon's checklists and its cell's in them, and the quality score of the taxon's."""
+    out = monthly.groupBy(*keys).agg(F.avg("frequency").alias("yearly_frequency"), F.sum("taxon_checklists").alias("checklists"), F.sum("cell_checklists").alias("cell_checklists"), F.count(F.lit(1)).alias("months"), *more)
     return out.withColumn("quality_score", scores.quality(F.col("checklists")))
 
 
 def profiled(yearly: DataFrame, profile: scores.TierProfile = scores.CODE) -> DataFrame:
-    tier = scores.tier(F.col("yearly_frequency"), profile, F.col("checklists"))
+    """Tiers and boosts; a profile that asks for checklists asks for the cell's, which tell how well it is known."""
+    tier = scores.tier(F.col("yearly_frequency"), profile, F.col("cell_checklists"))
     return yearly.withColumn("confidence_tier", tier).withColumn("confidence_boost", scores.boost(F.col("confidence_tier"), F.col("resolution"), profile))
 
 
@@ -65,17 +86,29 @@ def month_map(monthly: DataFrame, keys: list[str]) -> DataFrame:
     return out.withColumn("monthly", F.transform(F.sequence(F.lit(1), F.lit(12)), lambda m: F.coalesce(F.try_element_at("by_month", m), F.lit(0.0))))
 
 
+def listed(monthly: DataFrame, month: int, least: float) -> DataFrame:
+    """What is to be expected in a month: taxa with at least that frequency. The month goes down to the scan."""
+    return monthly.where((F.col("month") == month) & (F.col("frequency") >= least))
+
+
 def discover_cells(df: DataFrame, cell: str, checklist: str, taxon: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Counts, distinct counts and bounds by cell."""
-    return located(df, lat, lon, taxon).groupBy(cell).agg(
-        F.count(F.lit(1)).alias("observation_count"),
-        F.countDistinct(checklist).alias("checklist_count"),
-        F.countDistinct(taxon).alias("species_count"),
-        F.min(lat).alias("lat_min"),
-        F.max(lat).alias("lat_max"),
-        F.min(lon).alias("lon_min"),
-        F.max(lon).alias("lon_max"),
+    """Counts, distinct counts and bounds by cell.
+
+    Checklists and taxa are counted apart, each from its own pairs with a cell; a checklist's records are
+    summed up first, which takes the counts and bounds along."""
+    rows = located(df, lat, lon, taxon)
+    lists = rows.groupBy(cell, checklist).agg(F.count(F.lit(1)).alias("_n"), *(f(c).alias(f"_{c}_{n}") for c in (lat, lon) for n, f in (("min", F.min), ("max", F.max))))
+    counted = lists.groupBy(cell).agg(
+        F.sum("_n").alias("observation_count"),
+        F.count(checklist).alias("checklist_count"),
+        F.min(f"_{lat}_min").alias("lat_min"),
+        F.max(f"_{lat}_max").alias("lat_max"),
+        F.min(f"_{lon}_min").alias("lon_min"),
+        F.max(f"_{lon}_max").alias("lon_max"),
     )
+    taxa = rows.select(F.col(cell).alias("_cell"), taxon).distinct().groupBy("_cell").agg(F.count(F.lit(1)).alias("species_count"))
+    joined = counted.join(taxa, F.col(cell).eqNullSafe(F.col("_cell")))
+    return joined.select(cell, "observation_count", "checklist_count", "species_count", "lat_min", "lat_max", "lon_min", "lon_max")
 
 
 def density(cells: DataFrame, cell: str, resolution: int) -> DataFrame:
@@ -101,12 +134,13 @@ def density_totals(report: DataFrame, steps: tuple[int, ...] = (1_000, 10_000, 1
 
 def cell_metadata(df: DataFrame, cell: str, checklist: str, complete: Column, date: str) -> DataFrame:
     """Checklists, complete ones, records and dates by cell, and a class of quality."""
-    out = df.groupBy(cell).agg(
-        F.countDistinct(checklist).alias("total_checklists"),
-        F.countDistinct(F.when(complete, F.col(checklist))).alias("complete_checklists"),
-        F.count(F.lit(1)).alias("observations"),
-        F.min(date).alias("first_seen"),
-        F.max(date).alias("last_seen"),
+    lists = df.groupBy(cell, checklist).agg(F.max(F.coalesce(complete, F.lit(False))).alias("_complete"), F.count(F.lit(1)).alias("_n"), F.min(date).alias("_first"), F.max(date).alias("_last"))
+    out = lists.groupBy(cell).agg(
+        F.count(checklist).alias("total_checklists"),
+        F.count_if(F.col("_complete") & F.col(checklist).isNotNull()).alias("complete_checklists"),
+        F.sum("_n").alias("observations"),
+        F.min("_first").alias("first_seen"),
+        F.max("_last").alias("last_seen"),
     )
     n = F.col("total_checklists")
     return out.withColumn("data_quality", F.when(n >= 500, "excellent").when(n >= 100, "good").when(n >= 20, "fair").otherwise("sparse"))

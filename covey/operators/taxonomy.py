@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as text_functions
-from .lookups import insert_or_ignore, last_wins
+from .lookups import inserted, last_wins
 
 
 def long_names(wide: DataFrame, keys: list[str], languages: list[str]) -> DataFrame:
@@ -70,19 +69,8 @@ def header_columns(columns: list[str], required: list[str], excluded: set[str])
 
 
 def insert_species(df: DataFrame, order: Column, unique: list[tuple[str, ...]]) -> DataFrame:
-    """Rows in order without those that repeat any of the unique keys of one kept before; see insert_or_ignore.
-
-    Whether a row is kept depends on all that were kept before it, so the rows are gone through in one task.
-    That is for taxonomies, which have some ten thousand rows; use lookups.first_wins where one key is unique."""
-    columns = df.columns
-    ordered = df.withColumn("_order", order)
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("_order", kind="stable")
-        rows = frame[columns].astype(object).where(frame[columns].notna(), None).to_dict("records")
-        return pd.DataFrame(insert_or_ignore(rows, unique), columns=columns)
-
-    return ordered.groupBy(F.lit(1).alias("_all")).applyInPandas(lambda f: run(f), df.schema)
+    """Rows in order without those that repeat any of the unique keys of one kept before; see lookups.inserted."""
+    return inserted(df, order, unique)
 
 
 def languages(translations: DataFrame, names: dict[str, str], raw: DataFrame | None = None) -> DataFrame:

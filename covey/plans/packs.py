@@ -27,12 +27,12 @@ def grid_species(obs: DataFrame, regions: DataFrame, boundary: str, resolutions=
     placed = ops.located(obs, "taxon_concept_id", "observation_date").join(regions, boundary)
     placed = placed.withColumn("month", F.substring("observation_date", 6, 2).try_cast("int"))
     names = placed.groupBy(F.col("taxon_concept_id").alias("avibase_id")).agg(F.min("scientific_name").alias("scientific_name"))
-    flat = ops.at_resolutions(placed, {r: f"cell{r}" for r in resolutions}, ["region_id", "month", "taxon_concept_id", "sampling_event_identifier"])
-    monthly = ops.frequencies(flat, ["region_id", "resolution", "cell", "month"], ["taxon_concept_id"], "sampling_event_identifier")
+    cells = {r: f"cell{r}" for r in resolutions}
+    monthly = ops.multi_frequencies(placed, cells, ["region_id", "month"], {None: ["taxon_concept_id"]}, "sampling_event_identifier")
     keys = ["region_id", "resolution", "cell", "taxon_concept_id"]
-    yearly = ops.profiled(ops.yearly_mean(monthly, keys), profile)
-    months = monthly.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("month", "frequency", F.col("cell_checklists").alias("checklist_count")))).alias("months"))
-    out = yearly.drop("months").join(months, keys).withColumnsRenamed({"cell": "h3_cell", "taxon_concept_id": "avibase_id"})
+    months = F.array_sort(F.collect_list(F.struct("month", "frequency", F.col("taxon_checklists").alias("checklist_count"))))
+    yearly = ops.profiled(ops.yearly_mean(monthly, keys, months.alias("by_month")), profile)
+    out = yearly.drop("months").withColumnsRenamed({"by_month": "months", "cell": "h3_cell", "taxon_concept_id": "avibase_id"})
     return out.join(names, "avibase_id")
 
 

@@ -22,7 +22,7 @@ levels AS (SELECT unnest([5, 4, 2]) AS resolution),
 taxa AS (
   SELECT checklist, month, cell5, cell4, cell2, 'kind:' || kind AS taxon FROM obs
   UNION SELECT checklist, month, cell5, cell4, cell2, 'brand:' || brand FROM obs
-  UNION SELECT checklist, month, cell5, cell4, cell2, 'part:' || CAST(part AS VARCHAR) FROM obs WHERE part % 50 = 0
+  UNION SELECT checklist, month, cell5, cell4, cell2, 'part:' || CAST(part AS VARCHAR) FROM obs
 ),
 once AS (SELECT DISTINCT resolution, CASE resolution WHEN 5 THEN cell5 WHEN 4 THEN cell4 ELSE cell2 END AS cell, month, taxon, checklist FROM taxa, levels),
 totals AS (SELECT resolution, cell, month, count(DISTINCT checklist) AS cell_checklists FROM once GROUP BY resolution, cell, month),
@@ -32,7 +32,7 @@ monthly AS (
   FROM seen s JOIN totals t ON s.resolution = t.resolution AND s.cell = t.cell AND s.month = t.month
 ),
 yearly AS (
-  SELECT resolution, cell, taxon, avg(frequency) AS yearly_frequency, CAST(sum(cell_checklists) AS BIGINT) AS checklists, count(*) AS months
+  SELECT resolution, cell, taxon, avg(frequency) AS yearly_frequency, CAST(sum(taxon_checklists) AS BIGINT) AS checklists, CAST(sum(cell_checklists) AS BIGINT) AS cell_checklists, count(*) AS months
   FROM monthly GROUP BY resolution, cell, taxon
 )"""
 
@@ -42,16 +42,13 @@ def monthly(spark, sf_dir: str) -> DataFrame:
     return ops.frequencies(obs, ["cell", "month"], ["kind"])
 
 
-def ranked(spark, sf_dir: str) -> DataFrame:
-    obs = observations(spark, sf_dir)
-    keys = [*CELLS.values(), "month", "checklist"]
-    names = F.array(F.concat(F.lit("kind:"), "kind"), F.concat(F.lit("brand:"), "brand"), F.when(F.col("part") % 50 == 0, F.concat(F.lit("part:"), F.col("part").cast("string"))))
-    taxa = obs.select(*keys, F.explode(F.array_compact(names)).alias("taxon"))
-    return ops.frequencies(ops.at_resolutions(taxa, CELLS, ["month", "taxon", "checklist"]), ["resolution", "cell", "month"], ["taxon"])
+def ranked(spark, sf_dir: str, cells: dict[int, str] = CELLS, ranks: tuple[str, ...] = ("kind", "brand", "part")) -> DataFrame:
+    """Monthly frequencies at the resolutions of cells and for taxa of ranks, whatever of them is asked for."""
+    return ops.multi_frequencies(observations(spark, sf_dir), cells, ["month"], {r: r for r in ranks})
 
 
-def yearly(spark, sf_dir: str) -> DataFrame:
-    return ops.yearly_mean(ranked(spark, sf_dir), ["resolution", "cell", "taxon"])
+def yearly(spark, sf_dir: str, **which) -> DataFrame:
+    return ops.yearly_mean(ranked(spark, sf_dir, **which), ["resolution", "cell", "taxon"])
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -68,7 +65,7 @@ def freq_multires(spark, sf_dir):
     return ranked(spark, sf_dir)
 
 
-@query(f"WITH {RANKED} SELECT resolution, cell, taxon, round(yearly_frequency, 9) AS yearly_frequency, checklists, months, least(1.0, checklists / 100.0) AS quality_score FROM yearly")
+@query(f"WITH {RANKED} SELECT resolution, cell, taxon, round(yearly_frequency, 9) AS yearly_frequency, checklists, cell_checklists, months, least(1.0, checklists / 100.0) AS quality_score FROM yearly")
 def yearly_mean(spark, sf_dir):
     return rounded(yearly(spark, sf_dir), "yearly_frequency")
 
@@ -81,7 +78,7 @@ def tier_boost(spark, sf_dir):
 
 
 @query(f"""WITH {RANKED} SELECT resolution, cell, taxon,
-  CASE WHEN checklists < 20 THEN 'vagrant' WHEN yearly_frequency >= 0.2 THEN 'common' WHEN yearly_frequency >= 0.05 THEN 'uncommon' WHEN yearly_frequency >= 0.01 THEN 'rare' ELSE 'vagrant' END AS confidence_tier FROM yearly""")
+  CASE WHEN cell_checklists < 20 THEN 'vagrant' WHEN yearly_frequency >= 0.2 THEN 'common' WHEN yearly_frequency >= 0.05 THEN 'uncommon' WHEN yearly_frequency >= 0.01 THEN 'rare' ELSE 'vagrant' END AS confidence_tier FROM yearly""")
 def tier_documented(spark, sf_dir):
     return ops.profiled(yearly(spark, sf_dir), scores.DOC).select("resolution", "cell", "taxon", "confidence_tier")
 
@@ -216,5 +213,4 @@ def quality_chain(spark, sf_dir):
 @query(f"""WITH {MONTHLY}, o AS (SELECT cell, month, kind, frequency FROM monthly WHERE month = 5 AND frequency >= 0.15)
 SELECT cell, kind, round(frequency, 9) AS frequency FROM o""")
 def species_list_month(spark, sf_dir):
-    out = ops.month_map(monthly(spark, sf_dir), ["cell", "kind"]).withColumn("frequency", F.element_at("monthly", 5))
-    return out.where("frequency >= 0.15").select("cell", "kind", F.round("frequency", 9).alias("frequency"))
+    return ops.listed(monthly(spark, sf_dir), 5, 0.15).select("cell", "kind", F.round("frequency", 9).alias("frequency"))

@@ -1,5 +1,7 @@
 """Queries on places: bands, boxes, hexagon bits, distances, continents."""
 
+import re
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import geo
@@ -39,7 +41,25 @@ def lat_bands(spark, sf_dir):
     return points(spark, sf_dir).groupBy(geo.band(F.col("lat")).alias("band")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {POINTS} SELECT {geo.continent_sql('lat', 'lon')} AS continent, count(*) AS n, round(min(lat), 2) AS south, round(max(lat), 2) AS north FROM points GROUP BY 1")
+# The rules by which a place's region is found, written out apart from the library's table of them.
+CONTINENT_SQL = """CASE WHEN y > 60 AND x > -60 AND x < -10 THEN 'atlantic' WHEN y > 30 AND y < 45 AND x > -35 AND x < -15 THEN 'atlantic' WHEN y > 10 AND y < 35 AND x > -30 AND x < -10 THEN 'atlantic'
+WHEN y > 45 AND x < -165 THEN 'pacific'
+WHEN y > 25 AND x > -170 AND x < -50 THEN CASE WHEN y > 50 THEN 'na-north' WHEN x < -100 THEN 'na-west' ELSE 'na-east' END
+WHEN y > 5 AND y <= 25 AND x > -120 AND x < -55 THEN 'central-america'
+WHEN y > -60 AND x > -85 AND x < -30 THEN CASE WHEN y > 0 THEN 'sa-north' ELSE 'sa-south' END
+WHEN y > -5 AND y < 5 AND x > -95 AND x < -85 THEN 'pacific'
+WHEN y > 35 AND x > -15 AND x < 60 THEN 'europe' WHEN y > 10 AND y < 45 AND x > 30 AND x < 75 THEN 'middle-east'
+WHEN y > -10 AND x > 60 AND x < 150 THEN CASE WHEN y <= 20 THEN 'se-asia' WHEN x > 100 THEN 'asia-east' ELSE 'asia-south' END
+WHEN y > -40 AND y < 40 AND x > -20 AND x < 55 THEN 'africa' WHEN y < -10 AND x > 110 AND x < 180 THEN 'oceania'
+WHEN x > 150 OR x < -100 THEN 'pacific' WHEN y > -40 AND y < 30 AND x > 40 AND x < 120 THEN 'indian' WHEN y < -40 THEN 'sub-antarctic' ELSE 'remote' END"""
+
+
+def continent_sql(lat: str, lon: str) -> str:
+    """CONTINENT_SQL of two columns that have other names."""
+    return re.sub(r"\b[xy]\b", lambda m: lat if m.group() == "y" else lon, CONTINENT_SQL)
+
+
+@query(f"WITH {POINTS} SELECT {continent_sql('lat', 'lon')} AS continent, count(*) AS n, round(min(lat), 2) AS south, round(max(lat), 2) AS north FROM points GROUP BY 1")
 def continent_rules(spark, sf_dir):
     named = points(spark, sf_dir).withColumn("continent", geo.continent(F.col("lat"), F.col("lon")))
     return named.groupBy("continent").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("lat"), 2).alias("south"), F.round(F.max("lat"), 2).alias("north"))
@@ -67,10 +87,10 @@ def latlon_grid(spark, sf_dir):
 
 
 @query(f"""WITH {POINTS} SELECT checklist, part, round(2 * 6371.0 * asin(least(1.0, sqrt(power(sin(radians(51.5 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(51.5)) * power(sin(radians(-0.1 - lon) / 2), 2)))), 4) AS km
-FROM points WHERE checklist % 10 < 3""")
+FROM points""")
 def haversine(spark, sf_dir):
     km = geo.haversine(F.col("lat"), F.col("lon"), F.lit(51.5), F.lit(-0.1))
-    return points(spark, sf_dir).where("checklist % 10 < 3").select("checklist", "part", F.round(km, 4).alias("km"))
+    return points(spark, sf_dir).select("checklist", "part", F.round(km, 4).alias("km"))
 
 
 @query(f"""WITH {POINTS}, near AS (SELECT checklist, part, 2 * 6371.0 * asin(least(1.0, sqrt(power(sin(radians(51.5 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(51.5)) * power(sin(radians(-0.1 - lon) / 2), 2)))) AS km
@@ -88,24 +108,24 @@ def hex_parent_bits(spark, sf_dir):
     return hexagons(spark, sf_dir).select("k", geo.to_hex(c).alias("hex"), geo.resolution_of(c).alias("resolution"), geo.parent(c, 5).alias("parent5"), geo.parent(c, 2).alias("parent2"))
 
 
-CHILDREN_SQL = f"""c AS (SELECT DISTINCT {parent_sql('cell', 3)} AS cell FROM cells WHERE k % 5 = 0),
+CHILDREN_SQL = f"""c AS (SELECT DISTINCT {parent_sql('cell', 3)} AS cell FROM cells),
 d AS (SELECT unnest(range(0, 7)) AS digit),
 one AS (SELECT c.cell, (c.cell & {~(15 << 52) & ~(7 << 33)}) | {4 << 52} | (digit << 33) AS child FROM c, d
-  WHERE NOT (digit = 1 AND (c.cell >> 45) & 127 IN {geo.PENTAGONS} AND c.cell & {511 << 36} = 0)),
+  WHERE NOT (digit = 1 AND (c.cell >> 45) & 127 IN (4, 14, 24, 38, 49, 58, 63, 72, 83, 97, 107, 117) AND c.cell & {511 << 36} = 0)),
 two AS (SELECT cell, (child & {~(15 << 52) & ~(7 << 30)}) | {5 << 52} | (digit << 30) AS child FROM one, d
-  WHERE NOT (digit = 1 AND (child >> 45) & 127 IN {geo.PENTAGONS} AND child & {4095 << 33} = 0))"""
+  WHERE NOT (digit = 1 AND (child >> 45) & 127 IN (4, 14, 24, 38, 49, 58, 63, 72, 83, 97, 107, 117) AND child & {4095 << 33} = 0))"""
 
 
 @query(f"WITH {HEX}, {CHILDREN_SQL} SELECT CAST(cell AS BIGINT) AS cell, CAST(child AS BIGINT) AS child FROM two")
 def hex_children_bits(spark, sf_dir):
-    coarse = hexagons(spark, sf_dir).where("k % 5 = 0").select(geo.parent(F.col("cell"), 3).alias("cell")).distinct()
+    coarse = hexagons(spark, sf_dir).select(geo.parent(F.col("cell"), 3).alias("cell")).distinct()
     return coarse.select("cell", F.explode(geo.children(F.col("cell"), 3, 5)).alias("child"))
 
 
-PACKS_SQL = f"""{HEX}, packs AS (SELECT 'r' || CAST(o_custkey % 4 AS VARCHAR) AS region, CAST({parent_sql('cell', 4)} AS BIGINT) AS cell, CAST(sum(k % 50) AS BIGINT) AS checklists FROM cells WHERE k % 4 = 0 GROUP BY 1, 2),
+PACKS_SQL = f"""{HEX}, packs AS (SELECT 'r' || CAST(o_custkey % 4 AS VARCHAR) AS region, CAST({parent_sql('cell', 4)} AS BIGINT) AS cell, CAST(sum(k % 50) AS BIGINT) AS checklists FROM cells GROUP BY 1, 2),
 d AS (SELECT unnest(range(0, 7)) AS digit),
 fine AS (SELECT region, cell, checklists, (cell & {~(15 << 52) & ~(7 << 30)}) | {5 << 52} | (digit << 30) AS child FROM packs, d
-  WHERE NOT (digit = 1 AND (cell >> 45) & 127 IN {geo.PENTAGONS} AND cell & {4095 << 33} = 0)),
+  WHERE NOT (digit = 1 AND (cell >> 45) & 127 IN (4, 14, 24, 38, 49, 58, 63, 72, 83, 97, 107, 117) AND cell & {4095 << 33} = 0)),
 share AS (SELECT region, child, floor(CAST(checklists AS DOUBLE) / count(*) OVER (PARTITION BY region, cell) + 0.5) AS n FROM fine),
 spread AS (
   SELECT region, 4 AS resolution, cell, checklists AS n FROM packs
@@ -115,9 +135,8 @@ spread AS (
 
 
 def packs(spark, sf_dir: str) -> DataFrame:
-    some = hexagons(spark, sf_dir).where("k % 4 = 0")
     region = F.concat(F.lit("r"), (F.col("o_custkey") % 4).cast("string"))
-    return some.groupBy(region.alias("region"), geo.parent(F.col("cell"), 4).alias("cell")).agg(F.sum(F.col("k") % 50).alias("checklists"))
+    return hexagons(spark, sf_dir).groupBy(region.alias("region"), geo.parent(F.col("cell"), 4).alias("cell")).agg(F.sum(F.col("k") % 50).alias("checklists"))
 
 
 @query(f"WITH {PACKS_SQL} SELECT region, resolution, CAST(cell AS BIGINT) AS cell, CAST(sum(n) AS BIGINT) AS checklists, count(*) AS packs FROM spread GROUP BY 1, 2, 3")

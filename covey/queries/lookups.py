@@ -8,13 +8,15 @@ from .frequencies import MONTHLY, RANKED, monthly, yearly
 from .registry import query
 from .views import OBS, observations as obs_table, table
 
-PROBES = "probes AS (SELECT l_orderkey * 10 + l_linenumber AS probe, l_suppkey AS c5, CAST(s_nationkey AS BIGINT) AS c4, CAST(n_regionkey AS BIGINT) AS c2, 'part:' || CAST(l_partkey % 400 AS VARCHAR) AS taxon FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_orderkey % 20 = 0)"
+PROBES = "probes AS (SELECT (l_orderkey * 10 + l_linenumber) * 1000000000 + l_partkey * 10000 + l_suppkey % 10000 AS probe, l_suppkey AS c5, CAST(s_nationkey AS BIGINT) AS c4, CAST(n_regionkey AS BIGINT) AS c2, 'part:' || CAST(l_partkey % 400 AS VARCHAR) AS taxon FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)"
 
 
 def probes(spark, sf_dir):
     lines, suppliers, nations = (table(spark, sf_dir, t) for t in ("lineitem", "supplier", "nation"))
-    rows = lines.where("l_orderkey % 20 = 0").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-    return rows.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("probe"), F.col("l_suppkey").alias("c5"), F.col("s_nationkey").cast("long").alias("c4"), F.col("n_regionkey").cast("long").alias("c2"), F.concat(F.lit("part:"), (F.col("l_partkey") % 400).cast("string")).alias("taxon"))
+    rows = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    # An order has some line numbers twice: the part and the supplier tell such lines apart.
+    probe = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1_000_000_000 + F.col("l_partkey") * 10_000 + F.col("l_suppkey") % 10_000
+    return rows.select(probe.alias("probe"), F.col("l_suppkey").alias("c5"), F.col("s_nationkey").cast("long").alias("c4"), F.col("n_regionkey").cast("long").alias("c2"), F.concat(F.lit("part:"), (F.col("l_partkey") % 400).cast("string")).alias("taxon"))
 
 
 @query(f"""WITH {RANKED}, {PROBES}, tried AS (
@@ -22,24 +24,24 @@ def probes(spark, sf_dir):
 hits AS (SELECT probe, t.resolution, t.cell, yearly_frequency, row_number() OVER (PARTITION BY probe ORDER BY rank) AS place FROM tried t JOIN yearly y ON t.resolution = y.resolution AND t.cell = y.cell AND t.taxon = y.taxon)
 SELECT p.probe, p.taxon, h.resolution, h.cell, round(h.yearly_frequency, 9) AS yearly_frequency FROM probes p LEFT JOIN hits h ON p.probe = h.probe AND place = 1""")
 def lookup_fallback(spark, sf_dir):
-    rows = yearly(spark, sf_dir).select("resolution", "cell", "taxon", "yearly_frequency")
+    rows = yearly(spark, sf_dir, cells={4: "cell4", 2: "cell2"}, ranks=("part",)).select("resolution", "cell", "taxon", "yearly_frequency")
     out = ops.with_fallback(probes(spark, sf_dir), rows, [(4, "c4"), (2, "c2")], ["taxon"], "probe")
     return out.select("probe", "taxon", "resolution", "cell", F.round("yearly_frequency", 9).alias("yearly_frequency"))
 
 
 @query(f"""WITH {RANKED}, {PROBES}, tried AS (
   SELECT probe, p.taxon, 0 AS rank, 5 AS resolution, c5 AS cell FROM probes p UNION ALL SELECT probe, p.taxon, 1, 4, c4 FROM probes p UNION ALL SELECT probe, p.taxon, 2, 2, c2 FROM probes p),
-hits AS (SELECT probe, t.resolution, t.cell, checklists, row_number() OVER (PARTITION BY probe ORDER BY rank) AS place FROM tried t JOIN yearly y ON t.resolution = y.resolution AND t.cell = y.cell AND t.taxon = y.taxon WHERE checklists >= 200)
-SELECT p.probe, h.resolution, h.cell, h.checklists FROM probes p LEFT JOIN hits h ON p.probe = h.probe AND place = 1""")
+hits AS (SELECT probe, t.resolution, t.cell, cell_checklists, row_number() OVER (PARTITION BY probe ORDER BY rank) AS place FROM tried t JOIN yearly y ON t.resolution = y.resolution AND t.cell = y.cell AND t.taxon = y.taxon WHERE cell_checklists >= 200)
+SELECT p.probe, h.resolution, h.cell, h.cell_checklists FROM probes p LEFT JOIN hits h ON p.probe = h.probe AND place = 1""")
 def sparse_fallback(spark, sf_dir):
-    rows = yearly(spark, sf_dir).select("resolution", "cell", "taxon", "checklists")
-    out = ops.with_fallback(probes(spark, sf_dir), rows, [(5, "c5"), (4, "c4"), (2, "c2")], ["taxon"], "probe", F.col("checklists") >= 200)
-    return out.select("probe", "resolution", "cell", "checklists")
+    rows = yearly(spark, sf_dir, ranks=("part",)).select("resolution", "cell", "taxon", "cell_checklists")
+    out = ops.with_fallback(probes(spark, sf_dir), rows, [(5, "c5"), (4, "c4"), (2, "c2")], ["taxon"], "probe", F.col("cell_checklists") >= 200)
+    return out.select("probe", "resolution", "cell", "cell_checklists")
 
 
 @query(f"WITH {RANKED}, {PROBES} SELECT probe FROM probes p WHERE EXISTS (SELECT 1 FROM yearly y WHERE y.resolution = 4 AND y.cell = p.c4 AND y.taxon = p.taxon)")
 def pack_probe(spark, sf_dir):
-    rows = yearly(spark, sf_dir).where("resolution = 4").select(F.col("cell").alias("c4"), "taxon")
+    rows = yearly(spark, sf_dir, cells={4: "cell4"}, ranks=("part",)).select(F.col("cell").alias("c4"), "taxon")
     return ops.existing(probes(spark, sf_dir), rows, ["c4", "taxon"]).select("probe")
 
 
@@ -84,7 +86,7 @@ def neighbour_mean(spark, sf_dir):
 
 @query(f"""WITH {MONTHLY}, tiers AS (SELECT cell, kind, avg(frequency) AS f FROM monthly WHERE kind < 'P' GROUP BY 1, 2),
 known AS (SELECT cell, kind, CASE WHEN f >= 0.17 THEN 'common' WHEN f >= 0.165 THEN 'uncommon' WHEN f >= 0.16 THEN 'rare' ELSE 'vagrant' END AS tier FROM tiers),
-d AS (SELECT event_id, CAST(user_id % 25 AS BIGINT) AS cell, kind, value - floor(value) AS confidence FROM events JOIN (SELECT DISTINCT p_type AS kind, row_number() OVER (ORDER BY p_type) - 1 AS n FROM (SELECT DISTINCT p_type FROM part)) ON event_id % 6 = n),
+d AS (SELECT event_id, CAST(user_id % 25 AS BIGINT) AS cell, p_type AS kind, value - floor(value) AS confidence FROM events JOIN part ON event_id % (SELECT count(*) FROM part) + (SELECT min(p_partkey) FROM part) = p_partkey),
 j AS (SELECT event_id, confidence, tier FROM d LEFT JOIN known k ON d.cell = k.cell AND d.kind = k.kind),
 a AS (SELECT event_id, coalesce(tier, 'unknown') AS tier, CASE WHEN tier = 'common' THEN least(1.0, confidence * 1.5) WHEN tier = 'uncommon' THEN least(1.0, confidence * 1.2) WHEN tier = 'rare' THEN confidence
   WHEN tier = 'vagrant' AND confidence >= 0.95 THEN confidence * 0.9 WHEN tier IS NULL AND confidence >= 0.95 THEN confidence END AS adjusted FROM j)
@@ -93,9 +95,11 @@ def detection_adjust(spark, sf_dir):
     profile = scores.TierProfile((("common", 0.17), ("uncommon", 0.165), ("rare", 0.16)), "vagrant", scores.CODE.boosts)
     known = monthly(spark, sf_dir).where("kind < 'P'").groupBy("cell", "kind").agg(F.avg("frequency").alias("f"))
     known = known.select("cell", "kind", scores.tier(F.col("f"), profile).alias("tier"))
-    kinds = [r[0] for r in table(spark, sf_dir, "part").select("p_type").distinct().orderBy("p_type").limit(100).collect()]  # a handful
-    kind = scores.choice(F.col("event_id") % 6, dict(enumerate(kinds)), kinds[0])
-    seen = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 25).alias("cell"), kind.alias("kind"), (F.col("value") - F.floor("value")).alias("confidence"))
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("kind"))
+    keys = part.agg(F.count(F.lit(1)).alias("_n"), F.min("p_partkey").alias("_first"))
+    events = table(spark, sf_dir, "events").crossJoin(F.broadcast(keys))  # one row
+    seen = events.join(part, F.col("event_id") % F.col("_n") + F.col("_first") == F.col("p_partkey"))
+    seen = seen.select("event_id", (F.col("user_id") % 25).alias("cell"), "kind", (F.col("value") - F.floor("value")).alias("confidence"))
     out = seen.join(known, ["cell", "kind"], "left")
     value = scores.adjusted(F.col("confidence"), scores.boost(F.col("tier"), F.lit(5), profile), F.col("tier"))
     return out.select("event_id", F.coalesce("tier", F.lit("unknown")).alias("tier"), F.round(value, 9).alias("adjusted")).where("adjusted IS NOT NULL")

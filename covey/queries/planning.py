@@ -2,15 +2,15 @@
 
 from pyspark.sql import Window, functions as F
 
-from ..functions import geo
-from ..operators import lookups, planning as ops
+from ..operators import lookups, ordering, planning as ops
 from .frequencies import DENSITY, density, rounded
+from .grid import continent_sql
 from .registry import query
 from .views import OBS, observations, table
 
 MOST = 3.2
 CELLS_SQL = f"""{DENSITY}, moved AS (SELECT cell, round(center_lat + (cell % 9 - 4) * 10, 4) AS center_lat, round(center_lon + (cell % 17 - 8) * 20, 4) AS center_lon, unique_checklists, estimated_pack_size_mb FROM density WHERE unique_checklists >= 100),
-named AS (SELECT *, {geo.continent_sql('center_lat', 'center_lon')} AS continent FROM moved),
+named AS (SELECT *, {continent_sql('center_lat', 'center_lon')} AS continent FROM moved),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY continent ORDER BY round_even(center_lat, 0), round_even(center_lon, 0), unique_checklists DESC, cell) AS place, sum(estimated_pack_size_mb) OVER (PARTITION BY continent) AS total FROM named),
 filled(continent, cell, place, total, center_lat, center_lon, unique_checklists, estimated_pack_size_mb, chunk, held) AS (
   SELECT continent, cell, place, total, center_lat, center_lon, unique_checklists, estimated_pack_size_mb, 1, estimated_pack_size_mb FROM ranked WHERE place = 1
@@ -124,12 +124,13 @@ def taxon_prefixes(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(prefix.alias("prefix")).distinct().orderBy("prefix")
 
 
-@query(f"""WITH {OBS}, g AS (SELECT *, nullif(checklist % 5, 0) AS grp FROM obs WHERE checklist % 40 = 0)
+@query(f"""WITH {OBS}, g AS (SELECT *, nullif(checklist % 5, 0) AS grp FROM obs)
 SELECT checklist, line, row_number() OVER (PARTITION BY cell2 ORDER BY lat, lon, grp NULLS LAST, checklist, part, seen_at, line) AS place FROM g""")
 def location_sort_rank(spark, sf_dir):
-    rows = observations(spark, sf_dir).where("checklist % 40 = 0").withColumn("grp", F.nullif(F.col("checklist") % 5, F.lit(0)))
-    order = Window.partitionBy("cell2").orderBy("lat", "lon", F.asc_nulls_last("grp"), "checklist", "part", "seen_at", "line")
-    return rows.select("checklist", "line", F.row_number().over(order).cast("long").alias("place"))
+    rows = observations(spark, sf_dir).withColumn("grp", F.nullif(F.col("checklist") % 5, F.lit(0)))
+    rows = rows.select("cell2", "lat", "lon", "grp", "checklist", "part", "seen_at", "line")
+    order = [F.col("lat"), F.col("lon"), F.asc_nulls_last("grp"), F.col("checklist"), F.col("part"), F.col("seen_at"), F.col("line")]
+    return ordering.placed(rows, "cell2", order).select("checklist", "line", "place")
 
 
 @query(f"WITH {OBS}, c AS (SELECT cell5, count(*) AS n, count(DISTINCT checklist) AS checklists, count(DISTINCT part) AS taxa FROM obs GROUP BY cell5) SELECT cell5, n, checklists, taxa FROM c ORDER BY checklists DESC, cell5 LIMIT 5")

@@ -15,8 +15,8 @@ from ..functions import geo
 CHUNK_ROWS = 1_000_000
 ORDERS = {
     "location": ("latitude", "longitude", "group_identifier", "sampling_event_identifier", "taxon_concept_id", "observation_date"),
-    "date": ("observation_date", "latitude", "longitude", "group_identifier", "sampling_event_identifier", "taxon_concept_id"),
-    "taxon": ("taxon_concept_id", "observation_date", "latitude", "longitude", "group_identifier", "sampling_event_identifier"),
+    "date": ("observation_date", "latitude", "longitude", "taxon_concept_id"),
+    "taxon": ("taxon_concept_id", "observation_date", "latitude", "longitude"),
 }
 
 
@@ -35,6 +35,25 @@ def sorted_bands(df: DataFrame, path: str) -> None:
     out.write.mode("overwrite").partitionBy("band").option("compression", "zstd").parquet(path)
 
 
+def sorted_dates(df: DataFrame, path: str, parts: list[tuple[int, int, str]]) -> None:
+    """One folder for each range of years, see planning.date_partitions; rows in date order in it. Rows without a date go."""
+    year, label = F.substring("observation_date", 1, 4).try_cast("int"), F.lit(None).cast("string")
+    for first, end, name in parts:
+        label = F.when((year >= first) & (year < end), F.lit(name)).otherwise(label)
+    _sorted_folders(df.withColumn("date_part", label).where("date_part IS NOT NULL"), path, "date_part", "date")
+
+
+def sorted_taxa(df: DataFrame, path: str, width: int = 10) -> None:
+    """One folder for each prefix of the taxon, with _ for -; rows in taxon order in it. Rows without a taxon go."""
+    prefix = F.replace(F.substring("taxon_concept_id", 1, width), F.lit("-"), F.lit("_"))
+    _sorted_folders(df.withColumn("taxon_part", prefix).where("taxon_part IS NOT NULL"), path, "taxon_part", "taxon")
+
+
+def _sorted_folders(df: DataFrame, path: str, folder: str, order: str) -> None:
+    out = df.repartitionByRange(folder, *ORDERS[order][:3]).sortWithinPartitions(folder, *sort_columns(order))
+    out.write.mode("overwrite").partitionBy(folder).option("compression", "zstd").parquet(path)
+
+
 def by_cell(df: DataFrame, path: str, cell: str = "boundary_cell", salt: int = 1) -> None:
     """One folder for each cell; salt is how many tasks share the rows of a cell."""
     dealt = df.repartition(F.col(cell), F.pmod(F.xxhash64(*df.columns), F.lit(salt))) if salt > 1 else df.repartition(F.col(cell))

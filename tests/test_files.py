@@ -80,6 +80,10 @@ def test_run_to_packs(spark, dump):
     for (taxon, month), lists in seen.items():
         mean.setdefault(f"avibase-{taxon}", []).append(len(lists) / len(totals[month]))
     assert yearly == pytest.approx({k: sum(v) / len(v) for k, v in mean.items()})
+    counts = {(t, m): n for t, m, n in db.execute("SELECT avibase_id, month, checklist_count FROM grid_species_monthly WHERE resolution = 2")}
+    assert counts == {(f"avibase-{t}", int(m)): 8 * len(lists) for (t, m), lists in seen.items()}  # the taxon's, not the cell's
+    quality = dict(db.execute("SELECT avibase_id, quality_score FROM grid_species WHERE resolution = 2"))
+    assert quality == pytest.approx({t: min(1, sum(n for (x, _), n in counts.items() if x == t) / 100) for t in yearly}) and min(quality.values()) < 1
     before = (dump / "run/state.json").read_text()
     packs.PackRun(spark, str(dump / "dump.tar"), str(dump / "run"), "2024.01", least_checklists=1).go()  # nothing is left to do
     assert (dump / "run/state.json").read_text() == before
@@ -183,6 +187,15 @@ def test_bands_and_checks(spark, tmp_path):
     for f in files:  # rows of a file are in location order
         rows = [(r[0], r[1], r[2] is None, r[2] or "", r[3], r[4], r[5]) for r in spark.read.parquet(f).select(*sinks.ORDERS["location"]).collect()]
         assert rows == sorted(rows)
+    sinks.sorted_dates(obs, str(tmp_path / "dates"), [(2020, 2024, "pre_2024"), (2024, 2025, "year_2024"), (2025, 2026, "year_2025")])
+    sinks.sorted_taxa(obs, str(tmp_path / "taxa"))
+    for folder, order, names in (("dates", "date", {"pre_2024", "year_2024", "year_2025"}), ("taxa", "taxon", {f"avibase_T{k}" for k in range(1, 6)})):
+        table = spark.read.parquet(str(tmp_path / folder))
+        part = next(c for c in table.columns if c.endswith("_part"))
+        assert {r[0] for r in table.select(part).distinct().collect()} == names and table.count() == obs.count()
+        for f in table.inputFiles():
+            rows = [tuple(r) for r in spark.read.parquet(f).select(*sinks.ORDERS[order]).collect()]
+            assert rows == sorted(rows)
     with pytest.raises(ValueError):
         verify.reconciled({"a": 1, "b": 2})
     sinks.chunked(obs, str(tmp_path / "chunks"), rows=20)

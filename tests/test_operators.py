@@ -6,7 +6,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from covey.functions import geo, indexer, scores, text
-from covey.operators import comparing, lookups, observations, planning, taxonomy
+from covey.operators import comparing, lookups, observations, ordering, planning, taxonomy
 
 # The ground sample: observation, taxon, cell, date, checklist, group, complete.
 SAMPLE = [
@@ -40,6 +40,69 @@ def test_null_keys_are_no_observation(spark):
     assert [tuple(r) for r in observations.frequencies(df, ["cell", "month"], ["taxon"]).select("taxon_checklists", "cell_checklists").collect()] == [(1, 1)]
 
 
+def test_quality_counts_the_taxon(spark):
+    """A taxon on 3 of a cell's 200 checklists has 3 behind it, not 200."""
+    rows = [("A", 1, f"s{k}", "often") for k in range(200)] + [("A", 1, f"s{k}", "seldom") for k in range(3)] + [("A", 2, "s900", "seldom")]
+    df = spark.createDataFrame(rows, "cell string, month int, checklist string, taxon string")
+    monthly = observations.frequencies(df, ["cell", "month"], ["taxon"])
+    assert {(r["month"], r["taxon"]): (r["taxon_checklists"], r["cell_checklists"]) for r in monthly.collect()} == {(1, "often"): (200, 200), (1, "seldom"): (3, 200), (2, "seldom"): (1, 1)}
+    yearly = {r["taxon"]: r for r in observations.yearly_mean(monthly, ["cell", "taxon"]).collect()}
+    assert (yearly["seldom"]["checklists"], yearly["seldom"]["cell_checklists"], yearly["seldom"]["quality_score"]) == (4, 201, 0.04)
+    assert yearly["often"]["quality_score"] == 1.0 and yearly["seldom"]["yearly_frequency"] == pytest.approx((3 / 200 + 1) / 2)
+
+
+def test_multi_frequencies(spark):
+    rng = random.Random(2)
+    rows = [(c := rng.randrange(20), c // 4, rng.randrange(3), rng.randrange(40), rng.choice("xyz"), rng.choice("PQ")) for _ in range(600)]
+    df = spark.createDataFrame(rows, "fine long, coarse long, month int, checklist int, part string, kind string")
+    got = {tuple(r)[:4]: tuple(r)[4:6] for r in observations.multi_frequencies(df, {5: "fine", 2: "coarse"}, ["month"], {"part": "part", "kind": "kind"}).select("resolution", "cell", "month", "taxon", "taxon_checklists", "cell_checklists").collect()}
+    seen, totals = {}, {}
+    for fine, coarse, month, checklist, part, kind in rows:
+        for place in ((5, fine, month), (2, coarse, month)):
+            totals.setdefault(place, set()).add(checklist)
+            for taxon in (f"part:{part}", f"kind:{kind}"):
+                seen.setdefault((*place, taxon), set()).add(checklist)
+    assert got == {k: (len(v), len(totals[k[:3]])) for k, v in seen.items()}
+
+
+def test_cells_of_counts(spark):
+    rows = [("A", "s1", "t1", 1.0, 2.0, True, "d1"), ("A", "s1", "t1", 3.0, 2.0, False, "d3"), ("A", "s2", "t2", 2.0, 9.0, None, "d2"), ("A", None, "t2", 2.0, 9.0, True, "d2"), (None, "s1", "t1", 0.0, 0.0, True, "d1"), ("B", "s1", None, 0.0, 0.0, True, "d1")]
+    df = spark.createDataFrame(rows, "cell string, checklist string, taxon string, lat double, lon double, complete boolean, day string")
+    found = {r["cell"]: tuple(r)[1:] for r in observations.discover_cells(df, "cell", "checklist", "taxon").collect()}
+    assert found == {"A": (4, 2, 2, 1.0, 3.0, 2.0, 9.0), None: (1, 1, 1, 0.0, 0.0, 0.0, 0.0)}
+    meta = {r["cell"]: tuple(r)[1:] for r in observations.cell_metadata(df, "cell", "checklist", F.col("complete"), "day").collect()}
+    assert meta["A"] == (2, 1, 4, "d1", "d3", "sparse") and meta["B"] == (1, 1, 1, "d1", "d1", "sparse")
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_rules(spark, most):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), ("c", None), (None, "x")], "p string, q string")
+    rules = lambda rows: spark.createDataFrame(rows, "p string, q string")
+    kept = lambda i, e: sorted(map(tuple, lookups.by_rules(df, rules(i), rules(e), ["p", "q"], most).collect()), key=str)
+    assert kept([("a", None), ("a", None), (None, "x")], [("b", "x")]) == sorted([("a", "x"), ("a", "y"), (None, "x")], key=str)
+    assert len(kept([(None, None)], [])) == 5 and kept([], []) == [] and kept([(None, None)], [(None, None)]) == []
+
+
+def test_inserted(spark):
+    rng = random.Random(6)
+    rows = [(k, f"a{rng.randrange(30)}", rng.choice((None, f"b{rng.randrange(20)}")), f"c{rng.randrange(200)}") for k in range(150)]
+    unique = [("a",), ("b",), ("a", "c")]
+    df = spark.createDataFrame(rows, "k int, a string, b string, c string")
+    want = lookups.insert_or_ignore([dict(zip("kabc", r)) for r in rows], unique)
+    assert sorted(r["k"] for r in lookups.inserted(df, F.col("k"), unique).collect()) == [w["k"] for w in want]
+    assert lookups.inserted(df.limit(0), F.col("k"), unique).count() == 0
+
+
+def test_places(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice((1, 1, 1, 2, None)), rng.random(), k) for k in range(500)]
+    df = spark.createDataFrame(rows, "g int, x double, k int")
+    got = {r["k"]: r["place"] for r in ordering.placed(df, "g", [F.col("x"), F.col("k")]).collect()}
+    for g in (1, 2, None):
+        assert [got[k] for _, _, k in sorted(r for r in [(a, x, k) for a, x, k in rows] if r[0] == g)] == list(range(1, 1 + sum(a == g for a, _, _ in rows))) if g is not None else True
+    assert sorted(got[k] for a, _, k in rows if a is None) == list(range(1, 1 + sum(a is None for a, _, _ in rows)))
+
+
 def test_checklist_key(spark):
     df = spark.createDataFrame([("S1", "G1"), ("S2", "G1"), ("S3", ""), ("S4", None)], "checklist string, grp string")
     assert [r[0] for r in df.select(observations.checklist_key("checklist", "grp")).collect()] == ["G1", "G1", "S3", "S4"]
