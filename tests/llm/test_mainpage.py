@@ -2,6 +2,7 @@ import html
 import re
 from html.parser import HTMLParser
 
+import pytest
 from pyspark.sql import Row
 
 from covey.llm import mainpage
@@ -50,8 +51,8 @@ BODY = " ".join(f"word{i}" for i in range(60))
 def test_boilerplate_goes():
     page = f"""<html><head><title>t</title><style>p{{}}</style></head><body class="has-sidebar"><header><h1>Site name</h1></header>
     <nav><ul><li><a href=/>Home page of it all</a></li></ul></nav><div class="cookie-notice">We use cookies for many good reasons here</div>
-    <article><header><h1>A title</h1></header><p>One &amp; two&nbsp;three <b>four</b>five<br>six</p><div class="ad-slot"><p>Buy this now</p></div>
-    <p>{BODY}</p><form><label>Name</label><input></form><ul><li>first<li>second</ul><script>var x = "<p>no</p>";</script></article>
+    <article><header><h1>A title</h1></header><p>One &amp; two&nbsp;three <b>four</b>five<br>six</p><div role="complementary"><p>Buy this now</p></div>
+    <p>{BODY}</p><form class=x><label>Name</label><input></form><ul><li>first<li>second</ul><script>var x = "<p>no</p>";</script></article>
     <section id="comments"><p>I think that this is a very long comment by a reader who says much. {BODY} {BODY}</p></section>
     <aside>Related things</aside><footer>&copy; 2024</footer></body></html>"""
     for weights in ({}, {"tag free p": -0.2}):
@@ -93,3 +94,58 @@ def test_tags_that_leave_nothing_out():
         assert mainpage.extract(page.format(element), {}) == "one two three\n\nfour five six", element
     assert mainpage.extract(page.format("<script>"), {}) == "one two three"
     assert [t[1] for t in mainpage.read(page.format("<button>" * 20_000)) if t[0] == "text"] == ["one two three", "four five six"]
+
+
+KEPT = [
+    ('<h2 id="search-and-navigation">Search and navigation</h2>', "Search and navigation"),
+    ('<p class="legal">The law says so</p>', "The law says so"),
+    ('<div class="post-content share-price-report"><p>Prices rose again</p></div>', "Prices rose again"),
+    ('<table id="related-work"><tr><td>one study</td></tr></table>', "one study"),
+    ('<blockquote class="promoted-quote">as they said</blockquote>', "as they said"),
+    ('<h2 id="share-of-voice">Share of voice</h2>', "Share of voice"),
+    ('<p>some <span class="search">found words</span> here</p>', "some found words here"),
+    ("<h3><button>What is it?</button></h3>", "What is it?"),
+    ('<ul class="comment-guide"><li>point one</li></ul>', "point one"),
+]
+
+
+@pytest.mark.parametrize("mark", ["article", "main", "div"])
+def test_names_cost_no_content(spark, mark):
+    """Names that only sound like boilerplate: nothing of the article goes, whether weights are learned or not."""
+    learned = mainpage.learn(spark.read.parquet(f"{DATA}/pages.parquet"))
+    for html_, text in KEPT:
+        page = f"<body><nav><a href=/>home page</a></nav><{mark}><h1>A title of it</h1><p>{BODY}</p>{html_}<p>{BODY}</p></{mark}><footer>the end</footer></body>"
+        for weights in ({}, learned):
+            assert mainpage.extract(page, weights) == f"A title of it\n\n{BODY}\n\n{text}\n\n{BODY}", html_
+
+
+def test_pages_without_marks_or_telling_names(spark):
+    """Weights that are learned from marked pages find the same text on pages without a mark, names gone or not."""
+    pages = [r["html"] for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()]
+    weights = mainpage.learn(spark.read.parquet(f"{DATA}/pages.parquet"))
+    assert weights["name ad"] <= -3 and "cut ad" in weights
+    for page in pages:
+        want = mainpage.extract(page, weights)
+        bare = page.replace("<article", "<div").replace("</article", "</div")
+        assert mainpage.extract(bare, weights) == want
+        assert mainpage.extract(bare.replace(' class="ad"', ""), weights) == want
+        assert mainpage.extract(bare.replace(' class="ad"', ' class="k7"'), weights) == want
+        inner = page.replace("</p>", '</p><div class="ad">Buy more of it now</div>', 1)  # an advert in the article
+        assert mainpage.extract(inner, weights) == want
+
+
+def test_names_are_learned(spark):
+    """Names that no list has are boilerplate if labelled pages say so, and only then; any number of classes and names is fine."""
+    page = "<body><div class='zq zz'>{} words beside it all</div><article><h1>Title</h1><div class='qz'><p>{} " + BODY + "</p></div></article><x-{}>odd</x-{}></body>"
+    rows = [(k, page.format(k, k, k, k)) for k in range(3000)]
+    weights = mainpage.learn(spark.createDataFrame(rows, "page_id long, html string"))
+    assert "cut zq" in weights and "cut qz" not in weights and weights["name zq"] < -3 < 0 < weights["name qz"]
+    assert len(weights) < 100  # 3000 elements that HTML doesn't have are one
+    assert mainpage.extract(f"<article><p>{BODY}</p><div class='zq'><p>Buy</p></div><p class=zq>this stays</p><p>{BODY}</p></article>", weights) == f"{BODY}\n\nthis stays\n\n{BODY}"
+    assert mainpage.extract(f"<div class='qz'><p>{BODY}</p></div><div class=zq><p>{BODY}</p></div>", weights) == BODY
+
+
+def test_main_around_an_article():
+    page = f"<main><article><p>{BODY}</p></article><section id=discussion><p>I say {BODY}</p></section></main>"
+    assert mainpage.extract(page, {}) == BODY
+    assert mainpage.extract(f"<main><p>{BODY}</p></main><div><p>x y</p></div>", {}) == BODY
