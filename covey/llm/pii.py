@@ -11,6 +11,8 @@ of the disguised one; plain ones always stay, and redaction takes overlapping sp
 A span is (kind, start, end) in code points, the end exclusive. Kinds, in the order of results: email, ip,
 card, phone.
 
+All patterns go through a text a bounded number of times, whatever it holds.
+
 Defined results: a null text is an empty one, without spans; rows that repeat are scanned as often as they
 come; an empty table gives an empty table; columns of the input that are called like a result column are
 replaced, all others are carried along.
@@ -18,6 +20,7 @@ replaced, all others are carried along.
 
 from __future__ import annotations
 
+import bisect
 import re
 import unicodedata
 
@@ -31,7 +34,8 @@ Span = tuple[str, int, int]
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+#: From a run's first digit only: no other one of it can do better, and a long run is gone through once.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -97,20 +101,21 @@ _WORD: dict[str, str] = {w: str(d) for line in _ZERO_TO_NINE for d, w in enumera
 #: Digits that are ordinary words too give no cause to look closer.
 _SURE = frozenset(_WORD) - {"oh", "null", "ein", "un", "une", "uno"}
 _NAMES = "|".join(sorted(_WORD, key=len, reverse=True))
-_UNIT = rf"(?:{_NAMES}|[0-9]+)"
+_UNIT = rf"(?:{_NAMES}|[0-9]++)"
 _GAP = r"[\x20,;/_-]{1,3}"
 _DOTS = r"(?:dot|point|punkt|punto)"
 _ATS = r"(?:at|arroba)"
-#: A run of at least four digits in words, which may be parted by dots or a plus that are spelled too.
-_SPELLED = re.compile(rf"(?<!\w)(?:(?:plus|\+){_GAP}?)?(?:{_NAMES})(?:{_GAP}(?:{_DOTS}{_GAP})?{_UNIT}){{3,}}(?!\w)", re.I)
+#: A chain of digits in words, which may be parted by dots or a plus that are spelled too, and its units.
+_CHAIN = re.compile(rf"(?<!\w)(?:(?:plus|\+){_GAP}?)?(?:{_NAMES})(?:{_GAP}(?:{_DOTS}{_GAP})?{_UNIT})*+", re.I)
+_UNITS = re.compile(_UNIT, re.I)
 _TOKEN = re.compile(rf"(plus|\+)|({_DOTS})|({_NAMES})|([0-9]+)", re.I)
-_BRACKET = re.compile(rf"\s*[\[({{<]\s*(?:(at|arroba|@)|(dot|point|punkt|punto|\.))\s*[\])}}>]\s*", re.I)
+_BRACKET = re.compile(rf"[\[({{<]\s*(?:({_ATS}|@)|({_DOTS}|\.))\s*[\])}}>]", re.I)
+_SPACED_DOT = re.compile(rf"(?<!\s)\s++{_DOTS}\s++", re.I)
+_NO_SPACE = re.compile(r"\S|\Z")
 _SPACED = re.compile(rf"(?<![\w.%@+-])[A-Za-z0-9._%+-]+(\s+{_ATS}\s+|\s*@\s*)[A-Za-z0-9-]+((?:(?:\s+{_DOTS}\s+|\s*\.\s*)[A-Za-z0-9-]+)*?\s+{_DOTS}\s+)[A-Za-z0-9-]{{2,}}(?![\w-])", re.I)
 _SPACED_AT = re.compile(rf"(?<![\w.%@+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*(\s+{_ATS}\s+)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.(?:com|org|net|edu|gov|info|io|de|fr|es)(?![\w-])", re.I)
 #: What a text must have for the patterns above to match; never narrower than they are.
-_BRACKETED = re.compile(rf"[\[({{<]\s*(?:at|arroba|@|{_DOTS}|\.)\s*[\])}}>]", re.I)
 _AT_WORD, _DOT_WORD = re.compile(rf"\s{_ATS}\s", re.I), re.compile(_DOTS, re.I)
-_SEPARATE = re.compile(rf"\s+{_DOTS}\s+|\s*\.\s*", re.I)
 
 
 class Rewritten:
@@ -158,22 +163,55 @@ def look_alikes(text: Rewritten) -> Rewritten:
     return text.replace(changes)
 
 
+def chains(text: str) -> list[tuple[int, int]]:
+    """Runs of at least four digits in words, which end where no word goes on; each chain is gone through once."""
+    out = []
+    for m in _CHAIN.finditer(text):
+        ends = [u.end() for u in _UNITS.finditer(text, *m.span())]
+        while len(ends) >= 4 and ends[-1] < len(text) and (text[ends[-1]].isalnum() or text[ends[-1]] == "_"):
+            ends.pop()
+        if len(ends) >= 4:
+            out.append((m.start(), ends[-1]))
+    return out
+
+
 def spelled_digits(text: Rewritten) -> Rewritten:
     changes = []
-    for m in _SPELLED.finditer(text.text):
-        new = "".join("+" if a else "." if b else _WORD[c.lower()] if c else d for a, b, c, d in _TOKEN.findall(m.group()))
-        changes.append((m.start(), m.end(), new))
+    for a, b in chains(text.text):
+        new = "".join("+" if plus else "." if dot else _WORD[word.lower()] if word else digits for plus, dot, word, digits in _TOKEN.findall(text.text[a:b]))
+        changes.append((a, b, new))
     return text.replace(changes)
 
 
+def bracketed(text: str) -> list[tuple[int, int, str]]:
+    """At and dot in brackets, with the white space on both sides."""
+    changes, last = [], 0
+    for m in _BRACKET.finditer(text):
+        start = m.start()
+        while start > last and text[start - 1].isspace():
+            start -= 1
+        last = _NO_SPACE.search(text, m.end()).start()
+        changes.append((start, last, "@" if m.group(1) else "."))
+    return changes
+
+
+def separators(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
+    """Dots, spelled or not, with the white space around them, in a range that is nothing but names and these."""
+    out = []
+    for m in re.finditer(r"[^A-Za-z0-9-]+", text[start:end]):
+        if "." in m.group():
+            out.append((start + m.start(), start + m.end(), "."))
+    return sorted([*out, *((*m.span(), ".") for m in _SPACED_DOT.finditer(text, start, end))])
+
+
 def at_and_dot(text: Rewritten) -> Rewritten:
-    text = text.replace([(m.start(), m.end(), "@" if m.group(1) else ".") for m in _BRACKET.finditer(text.text)])
+    text = text.replace(bracketed(text.text))
     changes = [(*m.span(1), "@") for m in _SPACED_AT.finditer(text.text)]
     taken = {a for a, _, _ in changes}
     for m in _SPACED.finditer(text.text):
         if m.start(1) not in taken:
             changes.append((*m.span(1), "@"))
-            changes += [(*x.span(), ".") for x in _SEPARATE.finditer(text.text, *m.span(2))]
+            changes += separators(text.text, *m.span(2))
     return text.replace(sorted(changes))
 
 
@@ -183,10 +221,10 @@ def disguised(text: str) -> list[Span]:
     odd = not text.isascii() and _ODD.search(text) is not None
     dots = any(w in low for w in ("dot", "point", "punkt", "punto")) or not text.isascii() and _DOT_WORD.search(text) is not None
     ats = "@" in text or _AT_WORD.search(text) is not None
-    marks = any(c in text for c in "[({<") and _BRACKETED.search(text) is not None or ats and (dots or _SPACED_AT.search(text) is not None)
+    marks = any(c in text for c in "[({<") and _BRACKET.search(text) is not None or ats and (dots or _SPACED_AT.search(text) is not None)
     for c in ",;/_-.":
         low = low.replace(c, " ")
-    words = not _SURE.isdisjoint(low.split()) and _SPELLED.search(text) is not None
+    words = not _SURE.isdisjoint(low.split()) and bool(chains(text))
     if not (odd or marks or words):
         return []
     made = Rewritten(text)
@@ -204,9 +242,20 @@ def spans(text: str | None) -> tuple[list[Span], list[Span]]:
     order = lambda found: sorted(found, key=lambda s: (KINDS.index(s[0]), s[1]))
     base = plain(text)
     extra: list[Span] = []
-    for s in disguised(text):
-        if all(s[1] < x[1] or s[2] > x[2] for x in base) and all(s[2] <= x[1] or s[1] >= x[2] for x in extra):
-            extra.append(s)
+    found = disguised(text)
+    if found:
+        starts, reach = sorted(s[1] for s in base), []
+        for _, _, end in sorted(base, key=lambda s: s[1]):
+            reach.append(max(end, reach[-1] if reach else 0))
+        taken: list[tuple[int, int]] = []  # in order, apart from each other
+        for s in found:
+            before = bisect.bisect_right(starts, s[1])
+            if before and reach[before - 1] >= s[2]:
+                continue  # it lies in a plain one
+            k = bisect.bisect_left(taken, (s[1], s[2]))
+            if (k == 0 or taken[k - 1][1] <= s[1]) and (k == len(taken) or taken[k][0] >= s[2]):
+                taken.insert(k, (s[1], s[2]))
+                extra.append(s)
     return order(base), order(base + extra)
 
 
