@@ -46,7 +46,7 @@ from .columns import others
 
 SAMPLE = 20_000
 LIMIT = 4.0
-_TOKEN = re.compile(
+TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
@@ -71,7 +71,7 @@ TELLING = frozenset(
 #: Elements that group blocks, and so can be a hole by their names.
 CONTAINERS = frozenset("div section ul ol dl details center".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_BLOCKS = frozenset(
+BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -125,7 +125,7 @@ def read(page: str | None, weights: dict[str, float] | None = None, spans: list
                 if spans is not None and not named[n]:
                     spans.append((n, content - before[0], words - before[1]))
 
-    while m := _TOKEN.match(page, at):
+    while m := TOKEN.match(page, at):
         at = m.end()
         closing, tag, attributes, closing2, tag2, attributes2, text = m.groups()
         if text is not None:
@@ -149,7 +149,7 @@ def read(page: str | None, weights: dict[str, float] | None = None, spans: list
             if tag in _RAW:
                 break
             endless.add(tag)
-        breaks = tag in _BLOCKS
+        breaks = tag in BLOCKS
         marked = bool(open_ and open_[-1][2]) or not closing and tag == mark
         out.append(("tag", "/" + tag if closing else tag, breaks, marked))
         if closing:
@@ -188,7 +188,7 @@ def read(page: str | None, weights: dict[str, float] | None = None, spans: list
 def _kind(tag: str) -> str:
     """The element, or one name for all that HTML doesn't have."""
     name = tag.removeprefix("/")
-    return tag if name in _BLOCKS or name in _INLINE else "/other" if tag != name else "other"
+    return tag if name in BLOCKS or name in _INLINE else "/other" if tag != name else "other"
 
 
 def tag_class(name: str, marked: bool, has_mark: bool) -> str:

@@ -26,12 +26,15 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import stored
 from .columns import others
+from .mainpage import BLOCKS, TOKEN
 
 WIDTH = 576
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
-_PART = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|([^<]+|<)", re.S | re.I)
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _SCHEME = "sha256:"
+#: What helper columns are called, which no input column is.
+ROW = "_covey_media_row"
 ELEMENT = "array<struct<position:int,kind:string,text:string,digest:string,caption:string>>"
 
 
@@ -80,12 +83,14 @@ def feature(samples: bytes) -> str:
 
 
 def elements(page: str | None) -> list[dict]:
-    """A page's texts and media references in order. A figure's caption belongs to its references, else the alt text does."""
+    """A page's texts and media references in order.
+
+    A figure's caption belongs to the references in it that have no nearer one, wherever in the figure it
+    stands; other references have their alt text. A caption ends with its end tag, its figure or the page, and
+    is a text in its place if its figure has no reference. End tags of nothing are markup."""
     out: list[dict] = []
     words: list[str] = []
-    figure: list[dict] = []
-    caption: list[str] | None = None
-    depth = 0
+    figures: list[dict] = []  # open ones: their references, the parts of their caption, whether it is open, where it goes as text
 
     def flush() -> None:
         text = " ".join("".join(words).split())
@@ -93,32 +98,62 @@ def elements(page: str | None) -> list[dict]:
         if text:
             out.append({"kind": "text", "text": text, "digest": None, "caption": None})
 
-    for m in _PART.finditer(page or ""):
-        _, closing, tag, attributes, text = m.groups()
+    def end_figure() -> None:
+        flush()
+        done = figures.pop()
+        caption = " ".join("".join(done["caption"]).split())
+        if caption and done["refs"]:
+            for ref in done["refs"]:
+                ref["caption"] = caption
+        elif caption:
+            out.insert(done["at"], {"kind": "text", "text": caption, "digest": None, "caption": None})
+        if figures and not caption:
+            figures[-1]["refs"] += done["refs"]
+
+    page, at = page or "", 0
+    while m := TOKEN.match(page, at):
+        at = m.end()
+        closing, tag, attributes, closing2, tag2, attributes2, text = m.groups()
         if text is not None:
-            (caption if caption is not None else words).append(html.unescape(text))
-        elif tag:
-            tag = tag.lower()
-            if tag == "figcaption":
-                if not closing:
-                    caption = []
-                elif caption is not None:
-                    for x in figure:
-                        x["caption"] = " ".join("".join(caption).split())
-                    caption = None
-            elif tag == "figure":
+            (figures[-1]["caption"] if figures and figures[-1]["open"] else words).append(html.unescape(text))
+            continue
+        closing, tag, attributes = (closing, tag, attributes) if tag else (closing2, tag2, attributes2)
+        if not tag:
+            continue
+        tag = tag.lower()
+        if tag in _RAW_END and not closing:
+            stop = _RAW_END[tag].search(page, at)
+            if stop is None:
+                break  # raw text to the end of the page
+            at = stop.end()
+        elif tag == "figcaption":
+            if figures:
+                flush()
+                if not closing and not figures[-1]["caption"]:
+                    figures[-1]["at"] = len(out)
+                figures[-1]["open"] = not closing
+                figures[-1]["caption"].append(" ")
+        elif tag == "figure":
+            flush()
+            if not closing:
+                figures.append({"refs": [], "caption": [], "open": False, "at": len(out)})
+            elif figures:
+                end_figure()
+        elif tag in ("img", "audio", "video", "source"):
+            found = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(attributes)}
+            if not closing and found.get("src", "").startswith(_SCHEME):
                 flush()
-                depth, figure = (depth - 1 if closing else depth + 1), []
-            elif tag in ("img", "audio", "video", "source"):
-                found = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(attributes)}
-                if found.get("src", "").startswith(_SCHEME):
-                    flush()
-                    ref = {"kind": "media", "text": None, "digest": found["src"][len(_SCHEME) :], "caption": found.get("alt")}
-                    out.append(ref)
-                    if depth > 0:
-                        figure.append(ref)
-            elif tag in ("p", "div", "li", "h1", "h2", "h3", "h4", "br", "tr", "article", "section"):
+                ref = {"kind": "media", "text": None, "digest": found["src"][len(_SCHEME) :], "caption": found.get("alt")}
+                out.append(ref)
+                if figures:
+                    figures[-1]["refs"].append(ref)
+        elif tag in BLOCKS or tag == "br":
+            if figures and figures[-1]["open"]:
+                figures[-1]["caption"].append(" ")
+            else:
                 flush()
+    while figures:
+        end_figure()
     flush()
     return [{"position": k, **x} for k, x in enumerate(out)]
 
@@ -167,13 +202,13 @@ def resolve(sequences: DataFrame, taken: DataFrame, name: str = "elements") -> D
     """sequences with each element of the array name joined, by digest, with what was read back; in order."""
     facts = [c for c in taken.columns if c != "digest"]
     kept = others(sequences, name)
-    rows = sequences.withColumn("_row", F.monotonically_increasing_id())
-    flat = rows.select("_row", *kept, F.explode_outer(name).alias("_e"))
-    known = stored(taken.select(F.col("digest").alias("_digest"), F.struct(*facts).alias("_media")), "media-facts")
-    met = flat.join(known, F.col("_e.digest") == F.col("_digest"), "left")
-    element = F.when(F.col("_e").isNotNull(), F.struct("_e.position", "_e.kind", "_e.text", "_e.digest", "_e.caption", F.col("_media").alias("media")))
-    whole = met.groupBy("_row").agg(*(F.first(c).alias(c) for c in kept), F.array_sort(F.collect_list(element)).alias(name))
-    return whole.drop("_row")
+    rows = sequences.withColumn(ROW, F.monotonically_increasing_id())
+    flat = rows.select(ROW, *kept, F.explode_outer(name).alias(f"{ROW}_e"))
+    known = stored(taken.select(F.col("digest").alias(f"{ROW}_digest"), F.struct(*facts).alias(f"{ROW}_media")), "media-facts")
+    met = flat.join(known, F.col(f"{ROW}_e.digest") == F.col(f"{ROW}_digest"), "left")
+    element = F.when(F.col(f"{ROW}_e").isNotNull(), F.struct(*(f"{ROW}_e.{c}" for c in ("position", "kind", "text", "digest", "caption")), F.col(f"{ROW}_media").alias("media")))
+    whole = met.groupBy(ROW).agg(*(F.first(c).alias(c) for c in kept), F.array_sort(F.collect_list(element)).alias(name))
+    return whole.drop(ROW)
 
 
 def payloads(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -186,10 +221,20 @@ def payloads(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def op5_media_sequences(spark, sf_dir: str) -> DataFrame:
-    """Each document as a page of one figure: its text is the figure's payload, its id the caption."""
+    """Each document as a page: a heading, a figure whose payload is its text, words, and the payload again in a line of text.
+
+    The row is what the figure's reference met, which is the one with a caption of its own; place and caption
+    of both references show that they stayed where they were."""
     docs = payloads(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    caption = F.concat(F.lit("document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    page = F.concat(F.lit("<figure><img src='sha256:"), F.col("digest"), F.lit("'><figcaption>"), caption, F.lit("</figcaption></figure>"))
+    name = F.concat(F.lit("document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    src = F.concat(F.lit("src='sha256:"), F.col("digest"), F.lit("'"))
+    page = F.concat(
+        F.lit("<article><h1>"), name, F.lit("</h1><figure><img "), src, F.lit("><figcaption>"), name, F.lit("</figcaption></figure><p>It holds "),
+        F.col("n_bytes").cast("string"), F.lit(" bytes, as <img alt='small' "), src, F.lit("> shows.</p></article>"),
+    )
     sequences = parse(docs.select("doc_id", "n_bytes", page.alias("html")))
     found = resolve(sequences, take(put(docs)))
-    return found.select("doc_id", "n_bytes", F.inline("elements")).select("doc_id", "n_bytes", "media.*", "position", "caption")
+    media = F.filter("elements", lambda e: e["kind"] == "media")
+    figure, again = media[0], media[1]
+    whole = found.select("doc_id", "n_bytes", figure.alias("f"), again.alias("a"), F.size("elements").alias("n_elements"))
+    return whole.select("doc_id", "n_bytes", "f.media.*", "f.position", "f.caption", F.col("a.position").alias("again_position"), F.col("a.caption").alias("again_caption"), "n_elements")
