@@ -4,23 +4,28 @@ A document is the set of its distinct shingles of SHINGLE words. Equal sets are
 
 1. Each set is embedded as TOKENS minwise tokens: for each of as many hash functions, the smallest hash
    of its shingles, cut to 16 bits. The share of equal tokens of two sets estimates their similarity.
-2. TREES independent trees branch the points: at a node, one coordinate is chosen by the node's hash, and
+2. Independent trees branch the points: at a node, one coordinate is chosen by the node's hash, and
    a second one so often that 1 / similarity are chosen on average; a point goes on to the child that its
    token at a chosen coordinate names. Similar points share a path of any length with good chances, others
    hardly ever. The first DEPTH levels need no look at others, so each point names its nodes of that level
    at once. Nodes with one point end there. Nodes with more than LEAF points go on branching, up to
    the level deepest(), which grows with the logarithm of the points.
-3. In a small node all pairs of embeddings are compared; those whose share of equal tokens is up to
-   SLACK below the similarity are candidates. A node still large at the deepest level has points that agree
+3. In a small node all pairs of embeddings are compared; those whose share of equal tokens is up to SPREAD
+   deviations below the similarity are candidates. A node still large at the deepest level has points that agree
    at that many chosen tokens; all of them are candidates with its first point. Candidates hang
    together in families, the components of these links.
-4. In each family all pairs of full sets are compared, by exact sizes of intersections; a family of more
-   than BLOCK points in blocks, each with each. What links these find are exact; a document's class is the
-   component of these links.
-
-Recall: two sets at the very threshold meet in a tree's nodes of level DEPTH with a chance of about 0.64,
-and in one of TREES trees with all but about 4e-5; a candidate that meets is overlooked if its estimate is
-SLACK too low, which is four deviations of it. Families join what is linked by chains of others too.
+4. Families are verified by exact sizes of intersections of full sets. All pairs are compared in a family of
+   up to BLOCK points. A larger one is first met with pivots, block by block, in rounds: points that were
+   linked most often before, and some by chance of those that stand apart. As long as a round gathers more of
+   the family's points in its largest component, another follows; then the points outside of that component
+   are compared with all of the family's, block by block. Pairs inside of it need no look, as they change no
+   class. So a family whose points hang together costs a few times its points, and only what stays apart
+   costs the product of both counts. A document's class is the component of these exact links.
+
+Recall: two sets at the very threshold meet in a tree's nodes of level DEPTH with a chance of 0.64 at a
+similarity of 0.85 and of 0.58 at 0.8; needed() gives as many trees as leave out a share of MISS of such
+pairs, 10 and 12. Nodes that stay large lose some more of them at each level. A candidate that meets is
+overlooked if its estimate is SPREAD deviations too low. Families join what is linked by chains of others too.
 
 Defined results: a text without words, or null, has 0 shingles and is linked with nothing; documents of
 fewer words than SHINGLE have their whole sequence as one shingle; rows that share an id are one point for
@@ -30,17 +35,22 @@ table; columns beside the id and the text don't matter.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..storage import runtime_filters, stored
 from .linking import components, forest
 from .words import Words, mixed, sliced
 
-TOKENS, TREES, DEPTH = 128, 10, 4
-LEAF, BLOCK, SLACK = 400, 1500, 0.13
+TOKENS, DEPTH = 128, 4
+LEAF, BLOCK = 400, 1000
+MISS, SPREAD = 5e-5, 4.2
+#: Pivots of a family in a round; a round must gather this share of what stands apart to be followed by another.
+PIVOTS, GAIN = 64, 0.2
 #: Shingles that a block should hold, which bounds the memory of a task that compares two.
 BLOCK_SHINGLES = 2 << 20
 _A = np.random.Generator(np.random.PCG64(99)).integers(1, 1 << 31, TOKENS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -103,6 +113,20 @@ def signatures(df: DataFrame, text: str, key: str, shingle: int) -> DataFrame:
     return df.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")).mapInArrow(run, "doc_id long, n_shingles long, point long, check long, tokens binary")
 
 
+def needed(similarity: float) -> int:
+    """Trees after which all but MISS of the pairs at the threshold have met at level DEPTH."""
+    apart = 0.0
+    for _ in range(DEPTH):  # a pair goes on along each chosen coordinate with the chance that its tokens are equal
+        lost = 1 - similarity + similarity * apart
+        apart = lost * (1 - (1 / similarity - 1) * (1 - lost))
+    return max(1, int(np.ceil(np.log(MISS) / np.log(apart)))) if apart > 0 else 1
+
+
+def slack(similarity: float) -> float:
+    """How far below the similarity an estimate may be."""
+    return SPREAD * float(np.sqrt(similarity * (1 - similarity) / TOKENS))
+
+
 def branched(nodes: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """The children (index of the row, node) of rows at nodes."""
     first = mixed(nodes ^ _C[2])
@@ -175,7 +199,7 @@ def sized(rows: DataFrame) -> DataFrame:
     return rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("point").alias("first"), F.sum(F.shiftright(F.xxhash64("point"), 20)).alias("members")).where("size > 1")
 
 
-def candidates(points: DataFrame, similarity: float, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+def candidates(points: DataFrame, similarity: float, trees: int, depth: int = DEPTH) -> DataFrame:
     """Links (a, b) that hang together whatever candidates there are; star by star, not pair by pair."""
     spark, last = points.sparkSession, deepest(points.count())
     with runtime_filters(spark):
@@ -226,7 +250,7 @@ def alike(nodes: np.ndarray, tokens: np.ndarray, least: int) -> tuple[np.ndarray
 
 def compared(leaves: DataFrame, similarity: float) -> DataFrame:
     """Links between points of small nodes (node, point, tokens) whose embeddings are alike."""
-    least = int(np.ceil((similarity - SLACK) * TOKENS))
+    least = int(np.ceil((similarity - slack(similarity)) * TOKENS))
 
     def links(nodes, ids, tokens):
         label = forest(len(ids), *alike(nodes, tokens, least))
@@ -304,31 +328,79 @@ def verified(families: DataFrame, df: DataFrame, text: str, key: str, shingle: i
                     ["family", "point", "_blocks", "_block", "set"],
                 )
 
-    made = texts.mapInArrow(sets, "family long, point long, _blocks int, _block int, set binary")
-    # Block i meets block j in the task (i, j), i <= j: each point goes to as many tasks as there are blocks.
-    tasks = made.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    tasks = tasks.withColumns({"_i": F.least("_block", "_other"), "_j": F.greatest("_block", "_other")})
+    made = stored(texts.mapInArrow(sets, "family long, point long, _blocks int, _block int, set binary"), "sets")
+    found = [met(made.where("_blocks = 1").withColumns({"_j": F.lit(0), "_one": F.lit(True)}), percent, False)]
+    large = made.where("_blocks > 1")
+    if large.limit(1).count():
+        found += gathered(large, percent)
+    links = found[0].select("a", "b")
+    for x in found[1:]:
+        links = links.unionByName(x.select("a", "b"))
+    return links
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("point").sort_values(["_block", "point"])
-        values = np.frombuffer(b"".join(frame["set"]), np.uint64)
-        ids = frame["point"].to_numpy()
-        only = int((frame["_block"] == frame["_i"].iloc[0]).sum()) if frame["_i"].iloc[0] != frame["_j"].iloc[0] else None
-        a, b = exact_links([len(s) // 8 for s in frame["set"]], values, percent, only)
-        label = forest(len(ids), a, b)
-        far = np.flatnonzero(label != np.arange(len(ids)))
-        return pd.DataFrame({"a": ids[label[far]], "b": ids[far]})
 
-    return tasks.groupBy("family", "_i", "_j").applyInPandas(run, "a long, b long")
+def met(rows: DataFrame, percent: int, across: bool) -> DataFrame:
+    """(a, b, n): links of the sets of each (family, _block, _j), as a star for each component, with how many a point b has.
 
+    across: only those between rows with _one and the others are looked for. Each task holds two blocks at most."""
 
-def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, percent: int = 80, trees: int = TREES) -> DataFrame:
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop_duplicates(["point", "_one"]).sort_values(["_one", "point"])
+        ids, first = frame["point"].to_numpy(), int((~frame["_one"]).sum())
+        a, b = exact_links([len(s) // 8 for s in frame["set"]], np.frombuffer(b"".join(frame["set"]), np.uint64), percent, first if across else None)
+        label, n = forest(len(ids), a, b), np.bincount(np.concatenate([a, b]), minlength=len(ids))
+        some = np.flatnonzero(n)
+        return pd.DataFrame({"a": ids[label[some]], "b": ids[some], "n": n[some]})
+
+    return rows.select("family", "_block", "_j", "_one", "point", "set").groupBy("family", "_block", "_j").applyInPandas(run, "a long, b long, n long")
+
+
+def gathered(large: DataFrame, percent: int) -> list[DataFrame]:
+    """Links of families of several blocks, see the module's point 4."""
+    both = ["family", "_block", "_j", "_one", "point", "set"]
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block")
+    state = large.select("family", "point").distinct().withColumns({"label": F.col("point"), "n": F.lit(0).cast("long")})
+    links, found, before = [], [], None
+    while True:
+        # Where a family's points are: those of its largest component, and those that stand apart.
+        main = state.groupBy("family", "label").agg(F.count(F.lit(1)).alias("_n")).groupBy("family").agg(F.max_by("label", F.struct("_n", "label")).alias("_main"))
+        placed = stored(state.join(main, "family").withColumn("_apart", F.col("label") != F.col("_main")).drop("_main"), "family-points")
+        left = placed.where("_apart").groupBy("family").agg(F.count(F.lit(1)).alias("_left"))
+        left = stored(left.withColumn("_going", F.lit(True)) if before is None else left.join(before, "family").withColumn("_going", (F.col("_left") > BLOCK) & (F.col("_left") < F.col("_before") * (1 - GAIN))), "apart")
+        done, going = left.where("NOT _going"), left.where("_going")
+        if done.limit(1).count():
+            turns = F.ceil(F.col("_left") / F.lit(BLOCK)).cast("int")
+            queries = placed.where("_apart").join(done, "family").select("point", F.pmod(F.hash("point", F.lit("apart")), turns).alias("_j"))
+            queries = large.drop("_block").join(queries, "point").withColumn("_one", F.lit(True)).select("family", every, "_j", "_one", "point", "set")
+            others = large.join(done, "family").withColumns({"_one": F.lit(False), "_j": F.explode(F.sequence(F.lit(0), turns - 1))})
+            found.append(stored(met(others.select(*both).unionByName(queries), percent, True), "apart-links"))
+        if not going.limit(1).count():
+            return [*links, *found]
+        open_ = placed.join(going.select("family"), "family", "left_semi")
+        pivots = stored(first_of(open_, [F.desc("n")]).unionByName(first_of(open_.where("_apart"), [])).distinct(), "pivots")
+        queries = large.drop("_block").join(pivots, "point", "left_semi").withColumns({"_one": F.lit(True), "_j": F.lit(0)}).select("family", every, "_j", "_one", "point", "set")
+        others = large.join(going.select("family"), "family", "left_semi").withColumns({"_one": F.lit(False), "_j": F.lit(0)})
+        links.append(stored(met(others.select(*both).unionByName(queries), percent, True), "pivot-links"))
+        joined = components(reduce(DataFrame.unionByName, [x.select("a", "b") for x in links])).withColumnsRenamed({"node": "point", "component": "_to"})
+        degrees = links[-1].groupBy(F.col("b").alias("point")).agg(F.sum("n").alias("_more"))
+        state = open_.select("family", "point", "n").join(joined, "point", "left").join(degrees, "point", "left")
+        state = state.select("family", "point", F.coalesce("_to", "point").alias("label"), (F.col("n") + F.coalesce("_more", F.lit(0))).alias("n"))
+        before = going.select("family", F.col("_left").alias("_before"))
+
+
+def first_of(rows: DataFrame, order: list) -> DataFrame:
+    """The points of each family that come first, half as many as there are pivots; ties by a hash. Only so many of each part move."""
+    place = F.row_number().over(Window.partitionBy("family").orderBy(*order, F.xxhash64(F.lit("pivot"), "point")))
+    return rows.withColumn("_place", place).where(F.col("_place") <= PIVOTS // 2).select("point")
+
+
+def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, percent: int = 80, trees: int | None = None) -> DataFrame:
     """For each row doc_id, n_shingles, component_id (the smallest id reachable by links) and kept."""
     similarity = percent / 100
     marked = stored(signatures(df, text, key, shingle), "signatures")
     points = marked.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("point", "check").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), F.first("n_shingles").alias("n_shingles"))
     points = stored(points, "points")
-    families = components(candidates(points, similarity, trees)).withColumnsRenamed({"node": "point", "component": "family"})
+    families = components(candidates(points, similarity, trees or needed(similarity))).withColumnsRenamed({"node": "point", "component": "family"})
     families = stored(families.join(points.select("point", "check", "doc_id", "n_shingles"), "point"), "families")
     with runtime_filters(df.sparkSession):
         exact = stored(verified(families, df, text, key, shingle, percent), "exact-links")
@@ -345,10 +417,17 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
 
 
 def keep_first(df: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
-    """df with one row of each class, that of the smallest id. Rows that share an id are one document; rows without one stay."""
-    kept = near_duplicates(df, text, key, **how).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    first = df.join(stored(kept, "kept"), F.col(key).cast("long") == F.col("_kept"), "left_semi").dropDuplicates([key])
-    return first.unionByName(df.where(F.col(key).isNull()))
+    """df with one row of each class, that of the smallest id. Rows that share an id are one document; rows without one stay.
+
+    Of rows that share an id the one with the smallest text stays, and of those with the same text the
+    smallest in its other columns, so that the result is the same each time."""
+    kept = near_duplicates(df, text, key, **how).where("kept").select(F.col("doc_id").alias("_covey_kept")).groupBy("_covey_kept").agg(F.count(F.lit(1)).alias("_covey_n"))
+    met = df.join(stored(kept, "kept"), F.col(key).cast("long") == F.col("_covey_kept"))
+    once, more = met.where("_covey_n = 1").select(*df.columns), met.where("_covey_n > 1")
+    rest = [c for c in df.columns if c not in (key, text)]
+    order = F.struct(F.col(text), F.xxhash64(F.to_json(F.struct(*rest))) if rest else F.lit(0))
+    least = more.groupBy("_covey_kept").agg(F.min_by(F.struct(*df.columns), order).alias("_covey_row")).select("_covey_row.*")
+    return once.unionByName(least).unionByName(df.where(F.col(key).isNull()))
 
 
 def op1_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import Row
+from pyspark.sql import Row, functions as F
 
 from covey.llm import linking, neardup
 
@@ -63,6 +63,7 @@ def test_families(spark, monkeypatch, leaf, block):
     """Families around the threshold, with large ones in blocks and nodes that stay large."""
     monkeypatch.setattr(neardup, "LEAF", leaf)
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "PIVOTS", 4 if block < 100 else neardup.PIVOTS)
     rng = random.Random(4)
     texts = []
     for _ in range(6):
@@ -80,6 +81,47 @@ def test_families(spark, monkeypatch, leaf, block):
         assert got(df, shingle=k, percent=percent) == brute(ids, texts, k, percent)
 
 
+def test_large_families(spark, monkeypatch):
+    """Copies that are only linked with what they were made from, a chain, and texts that are just not alike enough."""
+    monkeypatch.setattr(neardup, "BLOCK", 40)
+    monkeypatch.setattr(neardup, "PIVOTS", 8)
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base, texts = [word() for _ in range(200)], []
+    for _ in range(150):  # a star: each differs from the middle at three places of its own
+        copy = list(base)
+        for k in rng.sample(range(5, 195, 6), 3):
+            copy[k] = word()
+        texts.append(" ".join(copy))
+    texts.insert(77, " ".join(base))
+    chain = [word() for _ in range(200)]
+    for k in range(100):
+        chain[k * 2 % 200] = word()
+        chain[(k * 2 + 97) % 200] = word()
+        texts.append(" ".join(chain))
+    base = [word() for _ in range(200)]
+    for _ in range(100):  # apart: two of them share about 0.75
+        copy = list(base)
+        for k in rng.sample(range(5, 195, 6), 5):
+            copy[k] = word()
+        texts.append(" ".join(copy))
+    ids = rng.sample(range(1000), len(texts))
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    for k, percent in ((3, 85),):
+        assert got(df, shingle=k, percent=percent) == brute(ids, texts, k, percent)
+
+
+def test_trees_follow_the_similarity():
+    assert (neardup.needed(0.85), neardup.needed(0.8)) == (10, 12) and neardup.slack(0.8) > neardup.slack(0.85)
+
+
+def test_rows_that_share_an_id(spark):
+    rows = [(1, "b c d e f g h", "x"), (1, "a c d e f g h", "y"), (1, "a c d e f g h", "z"), (2, "q r s t u v", None), (None, "z", "z"), (None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _kept string")
+    a, b = (sorted(map(tuple, neardup.keep_first(d).collect()), key=str) for d in (df, df.orderBy(F.desc("_kept"))))
+    assert a == b and len(a) == 4 and [r[1] for r in a if r[0] == 1] == ["a c d e f g h"]
+
+
 def test_odd_rows(spark):
     long = "word " * 100_000
     rows = [Row(doc_id=None, text="a b c d", point="x"), Row(doc_id=7, text=None, point=None), Row(doc_id=5, text=long, point="y"), Row(doc_id=6, text=long, point="y"), Row(doc_id=6, text="a b c d", point="y"), Row(doc_id=8, text="a b c d", point="y")]
