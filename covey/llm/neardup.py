@@ -15,7 +15,8 @@ A document is the set of its distinct shingles of SHINGLE words. Equal sets are
    at that many chosen tokens; all of them are candidates with its first point. Candidates hang
    together in families, the components of these links.
 4. Families are verified by exact sizes of intersections of full sets. All pairs are compared in a family of
-   up to BLOCK points. A larger one is first met with pivots, block by block, in rounds: points that were
+   up to MANY blocks of BLOCK points, each block with each, so that a set moves MANY times at most. A larger
+   one is first met with pivots, block by block, in rounds: points that were
    linked most often before, and some by chance of those that stand apart. As long as a round gathers more of
    the family's points in its largest component, another follows; then the points outside of that component
    are compared with all of the family's, block by block. Pairs inside of it need no look, as they change no
@@ -47,7 +48,7 @@ from .linking import components, forest
 from .words import Words, mixed, sliced
 
 TOKENS, DEPTH = 128, 4
-LEAF, BLOCK = 400, 1000
+LEAF, BLOCK, MANY = 400, 1000, 8
 MISS, SPREAD = 5e-5, 4.2
 #: Pivots of a family in a round; a round must gather this share of what stands apart to be followed by another.
 PIVOTS, GAIN = 64, 0.2
@@ -329,8 +330,11 @@ def verified(families: DataFrame, df: DataFrame, text: str, key: str, shingle: i
                 )
 
     made = stored(texts.mapInArrow(sets, "family long, point long, _blocks int, _block int, set binary"), "sets")
-    found = [met(made.where("_blocks = 1").withColumns({"_j": F.lit(0), "_one": F.lit(True)}), percent, False)]
-    large = made.where("_blocks > 1")
+    # Block i meets block j in the task (i, j), i <= j.
+    pairs = made.where(F.col("_blocks") <= MANY).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    pairs = pairs.withColumns({"_one": F.col("_block") >= F.col("_other"), "_j": F.greatest("_block", "_other"), "_block": F.least("_block", "_other")})
+    found = [met(pairs, percent, False)]
+    large = made.where(F.col("_blocks") > MANY)
     if large.limit(1).count():
         found += gathered(large, percent)
     links = found[0].select("a", "b")
@@ -342,12 +346,13 @@ def verified(families: DataFrame, df: DataFrame, text: str, key: str, shingle: i
 def met(rows: DataFrame, percent: int, across: bool) -> DataFrame:
     """(a, b, n): links of the sets of each (family, _block, _j), as a star for each component, with how many a point b has.
 
-    across: only those between rows with _one and the others are looked for. Each task holds two blocks at most."""
+    across: only those between rows with _one and the others are looked for, as they are where two blocks meet."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates(["point", "_one"]).sort_values(["_one", "point"])
         ids, first = frame["point"].to_numpy(), int((~frame["_one"]).sum())
-        a, b = exact_links([len(s) // 8 for s in frame["set"]], np.frombuffer(b"".join(frame["set"]), np.uint64), percent, first if across else None)
+        split = first if across or frame["_block"].iloc[0] != frame["_j"].iloc[0] else None
+        a, b = exact_links([len(s) // 8 for s in frame["set"]], np.frombuffer(b"".join(frame["set"]), np.uint64), percent, split)
         label, n = forest(len(ids), a, b), np.bincount(np.concatenate([a, b]), minlength=len(ids))
         some = np.flatnonzero(n)
         return pd.DataFrame({"a": ids[label[some]], "b": ids[some], "n": n[some]})

@@ -63,7 +63,6 @@ def test_families(spark, monkeypatch, leaf, block):
     """Families around the threshold, with large ones in blocks and nodes that stay large."""
     monkeypatch.setattr(neardup, "LEAF", leaf)
     monkeypatch.setattr(neardup, "BLOCK", block)
-    monkeypatch.setattr(neardup, "PIVOTS", 4 if block < 100 else neardup.PIVOTS)
     rng = random.Random(4)
     texts = []
     for _ in range(6):
@@ -85,6 +84,7 @@ def test_large_families(spark, monkeypatch):
     """Copies that are only linked with what they were made from, a chain, and texts that are just not alike enough."""
     monkeypatch.setattr(neardup, "BLOCK", 40)
     monkeypatch.setattr(neardup, "PIVOTS", 8)
+    monkeypatch.setattr(neardup, "MANY", 1)
     rng = random.Random(9)
     word = lambda: f"w{rng.randrange(10**6)}"
     base, texts = [word() for _ in range(200)], []
