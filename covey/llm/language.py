@@ -10,7 +10,10 @@ beforehand; a text's code length in a language is the sum over all its bytes, an
 shortest is predicted. The score is that language's share of the likelihoods, all languages being equally
 likely beforehand.
 
-Sample: of each language, texts are taken by a hash of their id so that about SAMPLE bytes are expected.
+Sample: of each language, texts are taken by a hash of their id so that about SAMPLE bytes are expected, or
+an equal share of TOTAL bytes where there are very many languages. Trees of all languages are held as one
+set of tables if these fit TABLES bytes; else each language has its own, as large as what it has shown, and
+as many as fit are held. Both give the same code lengths.
 
 Defined results: a null text, or one without a letter, is und with score 0; equal code lengths go to the
 language that sorts first; without any labelled text all are und; a row without an id isn't held out and
@@ -20,6 +23,7 @@ isn't learned from; rows that repeat are predicted as often as they come.
 from __future__ import annotations
 
 import re
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +36,8 @@ ORDER = 3  # the tables below are laid out for it
 SAMPLE = 6 << 20
 #: Bytes whose code lengths are looked up at once.
 BLOCK = 1 << 21
-#: More languages than this are taken for a broken column.
-MAX_LANGUAGES = 400
+#: Bytes of text in all languages' samples, and bytes of tables that a worker holds.
+TOTAL, TABLES = 64 * SAMPLE, 400 << 20
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -112,6 +116,9 @@ class Trees:
             order3 = level(of_three, len(three), order2[three // a - 1], own)
             self.table.append(np.concatenate([*(x.ravel() for x in (order1, order2, order3)), [0.0]]).astype(np.float32))
 
+    def nbytes(self) -> int:
+        return sum(t.nbytes for t in (self.pair, self.triple, *self.table))
+
     def code_lengths(self, column: pa.Array) -> np.ndarray:
         """Nats of each row of texts in each language."""
         data, starts = joined(column)
@@ -136,17 +143,48 @@ class Trees:
         return out
 
 
+def cells(lang: np.ndarray, gram: np.ndarray) -> int:
+    """Bytes of the tables of all languages as one set."""
+    symbols = len(np.unique(np.concatenate([gram >> s & 255 for s in (0, 8, 16, 24)]))) + 1
+    contexts = len(np.unique(gram >> 8)) + len(np.unique(gram >> 8 & 0xFFFF)) + symbols
+    return 4 * contexts * symbols * len(np.unique(lang))
+
+
+class Forest:
+    """The trees of a model: one set of tables, or one for each language, of which those used last are held."""
+
+    def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray, most: int = TABLES):
+        self.langs, self.most, self.held = langs, most, OrderedDict()
+        self.all = Trees(langs, lang, gram, n) if cells(lang, gram) <= most else None
+        if self.all is None:
+            order = np.argsort(lang, kind="stable")
+            self.gram, self.n, self.edges = gram[order], n[order], np.searchsorted(lang[order], np.arange(len(langs) + 1))
+
+    def one(self, k: int) -> Trees:
+        if k in self.held:
+            self.held.move_to_end(k)
+            return self.held[k]
+        rows = slice(self.edges[k], self.edges[k + 1])
+        made = Trees([self.langs[k]], np.zeros(rows.stop - rows.start, np.int64), self.gram[rows], self.n[rows])
+        while self.held and sum(t.nbytes() for t in self.held.values()) + made.nbytes() > self.most:
+            self.held.popitem(last=False)
+        self.held[k] = made
+        return made
+
+    def code_lengths(self, column: pa.Array) -> np.ndarray:
+        if self.all is not None:
+            return self.all.code_lengths(column)
+        return np.concatenate([self.one(k).code_lengths(column) for k in range(len(self.langs))], 1)
+
+
 def learn(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> tuple:
     """(languages, language, gram and count of what was seen) from about sample bytes of each language."""
     rows = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(key).isNotNull())
-    sizes = rows.groupBy(lang).agg(F.sum(F.octet_length(text)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"{lang} has more than {MAX_LANGUAGES} values")
-    share = F.lit(0.0)
-    for name, n in sizes:
-        share = F.when(F.col(lang) == name, min(1.0, sample / max(1, n))).otherwise(share)
+    sizes = rows.groupBy(F.col(lang).alias("_covey_lang")).agg(F.sum(F.octet_length(text)).alias("_covey_size"))
+    each = min(sample, TOTAL // max(1, sizes.count()))
     draw = F.pmod(F.xxhash64(F.lit("language"), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
-    found = counts(rows.where(draw < share), text, lang).toPandas()
+    chosen = rows.join(sizes, F.col(lang) == F.col("_covey_lang")).where(draw * F.greatest(F.col("_covey_size"), F.lit(1)) < each)
+    found = counts(chosen, text, lang).toPandas()
     langs = sorted(found["lang"].unique())
     number = {x: k for k, x in enumerate(langs)}
     return langs, found["lang"].map(number).to_numpy(np.int64), found["gram"].to_numpy(np.int64), found["n"].to_numpy(np.float64)
@@ -162,10 +200,10 @@ def predict(df: DataFrame, model: tuple, text: str = "text") -> DataFrame:
 
     def run(batches):
         if _made.get("of") is not sent.value:
-            _made.update(of=sent.value, trees=Trees(*sent.value) if sent.value[0] else None)
+            _made.update(of=sent.value, trees=Forest(*sent.value) if sent.value[0] else None)
         trees = _made["trees"]
         for batch in batches:
-            for part in sliced(batch, text, 1 << 20):
+            for part in sliced(batch, text, 1 << 20 if trees is None or trees.all is not None else 1 << 23):
                 column = part.column(text)
                 letters = np.array([has_letter(x) for x in column.to_pylist()], bool)
                 names, scores = np.array([UNKNOWN] * len(column), object), np.zeros(len(column))

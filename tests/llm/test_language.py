@@ -69,3 +69,21 @@ def test_odd_rows(spark):
     assert {r["lang_pred"] for r in out if r["doc_id"] not in (1, 2, 3)} == {"en", "de"} and len(out) == 6
     assert language.predict(docs.limit(0), language.learn(docs.limit(0))).count() == 0
     assert {r["lang_pred"] for r in language.predict(docs, language.learn(docs.limit(0))).collect()} == {"und"}
+
+
+def test_many_languages(spark):
+    """Hundreds of them give a result, and tables of their own give the same code lengths as one set."""
+    import random
+
+    rng = random.Random(3)
+    words = {k: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzéüñ") for _ in range(rng.randrange(2, 7))) for _ in range(30)] for k in range(450)}
+    rows = [(1000 * k + j, f"l{k:03d}", " ".join(rng.choice(words[k]) for _ in range(60))) for k in range(450) for j in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+    model = language.learn(df)
+    assert len(model[0]) == 450
+    texts = pa.array([r[2] for r in rows[:40]] + [None, "", "zzz \u4e2d"])
+    apart, whole = language.Forest(*model, most=1 << 20), language.Forest(*model, most=1 << 40)
+    assert apart.all is None and whole.all is not None
+    assert np.allclose(apart.code_lengths(texts), whole.code_lengths(texts), rtol=1e-5) and len(apart.held) < 450
+    found = {r["doc_id"]: r["lang_pred"] for r in language.predict(df, model).select("doc_id", "lang_pred").collect()}
+    assert sum(found[r[0]] == r[1] for r in rows) > 0.95 * len(rows)
