@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..storage import stored
 from .linking import components, forest
 
-PASSES, NEIGHBOURS, BLOCK, BITS = 24, 256, 2000, 62
+PASSES, NEIGHBOURS, BLOCK, BITS = 24, 256, 4000, 62
 #: Bytes of points that a partition of sorted keys should hold, which bounds a task's memory.
 PART = 24 << 20
 #: Buckets of vectors that are spread evenly hold about 2 ** -SPARE of a window; share of pairs at the threshold never met.
@@ -184,9 +184,11 @@ def counted(families: DataFrame, points: DataFrame, threshold: float) -> DataFra
 def near_vectors(df: DataFrame, vector: str = "embedding", key: str = "vec_id", threshold: float = 0.95, passes: int | None = None, reach: int = NEIGHBOURS) -> DataFrame:
     """For each row vec_id, n_links, component_id (the smallest id reachable by links) and kept; passes are needed() unless given."""
     rows = read(df, vector, key)
-    marked = stored(rows.withColumn("point", F.xxhash64("vector")), "vectors")
+    # Two hashes of 64 bits name a vector; a point has a number of its own, given once, as its table is stored.
+    marked = stored(rows.withColumns({"name": F.xxhash64("vector"), "check": F.xxhash64(F.lit("check"), "vector")}), "vectors")
     known = marked.where("vector IS NOT NULL AND vec_id IS NOT NULL")
-    points = stored(known.groupBy("point").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"), F.first("vector").alias("vector")), "points")
+    points = known.groupBy("name", "check").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"), F.first("vector").alias("vector"))
+    points = stored(points.withColumn("point", F.monotonically_increasing_id()), "points")
     total = points.agg(F.count(F.lit(1)), F.sum(F.octet_length("vector"))).first()
     bits = depth(total[0], reach)
     passes = passes or needed(bits, threshold)
@@ -200,10 +202,11 @@ def near_vectors(df: DataFrame, vector: str = "embedding", key: str = "vec_id",
     linked = linked.join(points.select("point", "first"), "point")
     least = linked.groupBy("group").agg(F.min("first").alias("_class"))
     classes = linked.join(least, "group").select("point", "_class")
-    facts = points.select("point", "first", "n").join(links, "point", "left").join(classes, "point", "left")
-    facts = stored(facts.select(F.col("point").alias("_point"), (F.col("n") - 1 + F.coalesce("_links", F.lit(0))).alias("_n"), F.coalesce("_class", "first").alias("_of")), "vector-classes")
-    met = marked.select("vec_id", F.when(F.col("vector").isNotNull() & F.col("vec_id").isNotNull(), F.col("point")).alias("point"))
-    met = met.join(facts, F.col("point") == F.col("_point"), "left")
+    facts = points.select("point", "name", "check", "first", "n").join(links, "point", "left").join(classes, "point", "left")
+    facts = stored(facts.select(F.col("name").alias("_name"), F.col("check").alias("_check"), (F.col("n") - 1 + F.coalesce("_links", F.lit(0))).alias("_n"), F.coalesce("_class", "first").alias("_of")), "vector-classes")
+    named = F.col("vector").isNotNull() & F.col("vec_id").isNotNull()
+    met = marked.select("vec_id", F.when(named, F.col("name")).alias("name"), F.when(named, F.col("check")).alias("check"))
+    met = met.join(facts, (F.col("name") == F.col("_name")) & (F.col("check") == F.col("_check")), "left")
     out = met.select("vec_id", F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("_of", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
