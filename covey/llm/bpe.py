@@ -80,11 +80,11 @@ def _with(df: DataFrame, text: str, name: str, kind: str, make) -> DataFrame:
 
 def pieces(df: DataFrame, text: str, path: str, pattern: str, chunk: int, overlap: int) -> tuple[DataFrame, DataFrame]:
     """df's long texts with a row number _row, and their pieces (_row, _piece, _text) by the stitches found."""
-    long = stored(df.withColumn("_row", F.monotonically_increasing_id()), "bpe-long")
+    long = stored(df.withColumn("_covey_row", F.monotonically_increasing_id()), "bpe-long")
     length = F.length(text)
     starts = F.sequence(F.lit(0), length - 1, F.lit(chunk))
-    chunks = long.select("_row", length.alias("_length"), F.explode(F.transform(starts, lambda s: F.struct(s.alias("start"), F.substring(F.col(text), s + 1, F.lit(chunk + overlap)).alias("text")))).alias("c"))
-    chunks = chunks.select("_row", "_length", F.col("c.start").alias("_start"), F.col("c.text").alias("_chunk")).repartition("_row", "_start")
+    chunks = long.select("_covey_row", length.alias("_length"), F.explode(F.transform(starts, lambda s: F.struct(s.alias("start"), F.substring(F.col(text), s + 1, F.lit(chunk + overlap)).alias("text")))).alias("c"))
+    chunks = chunks.select("_covey_row", "_length", F.col("c.start").alias("_start"), F.col("c.text").alias("_chunk")).repartition("_covey_row", "_start")
 
     def bounds(column):
         import regex
@@ -98,22 +98,22 @@ def pieces(df: DataFrame, text: str, path: str, pattern: str, chunk: int, overla
         return pa.StructArray.from_arrays([pa.array(heads, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.int32()))], ["head", "tail"])
 
     seen = _with(chunks, "_chunk", "_bounds", "struct<head:array<int>,tail:array<int>>", bounds)
-    ahead = seen.select("_row", (F.col("_start") + chunk).alias("_start"), F.col("_bounds.tail").alias("_tail"))
-    joined = seen.join(ahead, ["_row", "_start"])
+    ahead = seen.select("_covey_row", (F.col("_start") + chunk).alias("_start"), F.col("_bounds.tail").alias("_tail"))
+    joined = seen.join(ahead, ["_covey_row", "_start"])
     # A chunk's own boundaries are right after its own stitch, which lies in its first OVERLAP characters;
     # the position 0 of a chunk is no boundary it has found, but where it was cut.
     common = F.array_min(F.filter(F.array_intersect(F.col("_bounds.head"), F.col("_tail")), lambda e: e > 0))
-    found = joined.select("_row", "_start", (F.col("_start") + common).alias("_cut"))
-    cuts = found.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_start", "_cut"))).alias("_all"))
+    found = joined.select("_covey_row", "_start", (F.col("_start") + common).alias("_cut"))
+    cuts = found.groupBy("_covey_row").agg(F.array_sort(F.collect_list(F.struct("_start", "_cut"))).alias("_all"))
     # A chunk that isn't stitched to what stands before it has no sure boundaries: the rest is one piece.
     sure = F.expr("coalesce(nullif(array_position(transform(_all, x -> x._cut IS NULL), true), 0) - 1, size(_all))")
-    cuts = cuts.select("_row", F.expr("transform(_all, x -> x._cut)").alias("_cuts"), sure.cast("int").alias("_sure"))
-    cuts = cuts.select("_row", F.slice("_cuts", F.lit(1), F.col("_sure")).alias("_cuts"))
-    whole = long.select("_row", F.col(text).alias("_whole")).join(cuts, "_row", "left")
+    cuts = cuts.select("_covey_row", F.expr("transform(_all, x -> x._cut)").alias("_cuts"), sure.cast("int").alias("_sure"))
+    cuts = cuts.select("_covey_row", F.slice("_cuts", F.lit(1), F.col("_sure")).alias("_cuts"))
+    whole = long.select("_covey_row", F.col(text).alias("_whole")).join(cuts, "_covey_row", "left")
     edges = F.concat(F.array(F.lit(0)), F.coalesce(F.col("_cuts"), F.array().cast("array<int>")), F.array(F.length("_whole")))
     parts = F.expr("transform(sequence(1, size(_edges) - 1), i -> struct(i AS i, substring(_whole, _edges[i - 1] + 1, _edges[i] - _edges[i - 1]) AS t))")
-    cut = whole.withColumn("_edges", edges).select("_row", F.explode(parts).alias("p"))
-    return long, cut.select("_row", F.col("p.i").alias("_piece"), F.col("p.t").alias("_text")).repartition("_row", "_piece")
+    cut = whole.withColumn("_edges", edges).select("_covey_row", F.explode(parts).alias("p"))
+    return long, cut.select("_covey_row", F.col("p.i").alias("_piece"), F.col("p.t").alias("_text")).repartition("_covey_row", "_piece")
 
 
 def encode(df: DataFrame, text: str = "text", name: str = "ids", path: str | None = None, pattern: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
@@ -124,8 +124,8 @@ def encode(df: DataFrame, text: str = "text", name: str = "ids", path: str | Non
     short = _with(df.where(F.coalesce(F.length(text), F.lit(0)) <= chunk), text, name, "array<int>", make)
     long, cut = pieces(df.where(F.length(text) > chunk), text, path, pattern, chunk, overlap)
     done = _with(cut, "_text", "_ids", "array<int>", make)
-    gathered = done.groupBy("_row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_ids"))), lambda x: x["_ids"])).alias(name))
-    return short.unionByName(long.drop(text).join(gathered, "_row").drop("_row"))
+    gathered = done.groupBy("_covey_row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_ids"))), lambda x: x["_ids"])).alias(name))
+    return short.unionByName(long.drop(text).join(gathered, "_covey_row").drop("_covey_row"))
 
 
 def decode(df: DataFrame, ids: str = "ids", name: str = "decoded", path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -162,19 +162,19 @@ def round_trip(df: DataFrame, text: str = "text", path: str | None = None, patte
         rows = list(_ids(column.to_pylist(), path, pattern))
         return pa.StructArray.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array([enc.decode_bytes(r) for r in rows], pa.binary())], ["ids", "bytes"])
 
-    short = _with(df.where(F.coalesce(F.length(text), F.lit(0)) <= chunk), text, "_made", kind, digests)
+    short = _with(df.where(F.coalesce(F.length(text), F.lit(0)) <= chunk), text, "_covey_made", kind, digests)
     long, cut = pieces(df.where(F.length(text) > chunk), text, path, pattern, chunk, overlap)
-    done = _with(cut, "_text", "_made", "struct<ids:array<int>,bytes:binary>", raw)
-    all_of = F.array_sort(F.collect_list(F.struct("_piece", F.col("_made.ids").alias("ids"), F.hex("_made.bytes").alias("bytes"))))
-    one = done.groupBy("_row").agg(all_of.alias("_all")).withColumn("_ids", F.flatten(F.transform("_all", lambda x: x["ids"])))
+    done = _with(cut, "_text", "_covey_made", "struct<ids:array<int>,bytes:binary>", raw)
+    all_of = F.array_sort(F.collect_list(F.struct("_piece", F.col("_covey_made.ids").alias("ids"), F.hex("_covey_made.bytes").alias("bytes"))))
+    one = done.groupBy("_covey_row").agg(all_of.alias("_all")).withColumn("_ids", F.flatten(F.transform("_all", lambda x: x["ids"])))
     made = [
         F.size("_ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("_ids", " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.unhex(F.array_join(F.transform("_all", lambda x: x["bytes"]), "")), 256).alias("decoded_sha256"),
         *([F.col("_ids").alias("ids")] if keep_ids else []),
     ]
-    one = one.select("_row", F.struct(*made).alias("_made"))
-    return short.unionByName(long.drop(text).join(one, "_row").drop("_row")).select("*", "_made.*").drop("_made")
+    one = one.select("_covey_row", F.struct(*made).alias("_covey_made"))
+    return short.unionByName(long.drop(text).join(one, "_covey_row").drop("_covey_row")).select("*", "_covey_made.*").drop("_covey_made")
 
 
 def op8_bpe_round_trip(spark, sf_dir: str) -> DataFrame:
