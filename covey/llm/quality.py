@@ -5,14 +5,16 @@ the log odds of being good against the share of good labels. Sites are grouped:
 Over all documents, whatever their label, the mean probability of a host is shrunk towards the global
 mean by a prior worth PRIOR documents or more, and a path's mean in the same way towards its host's
 posterior. The weight of each prior is estimated by moments: what the site means vary beyond what their
-size explains makes the prior lighter, never below PRIOR documents. A document's quality is its own
+size explains makes the prior lighter, never below PRIOR documents; hosts are weighed by how host means
+vary, paths by how the paths of a host with several of them vary around it. A document's quality is its own
 evidence on top of its path's posterior odds; below THRESHOLD it is rejected.
 
 The classifier is fitted on about SAMPLE labelled documents, chosen by a hash of their id; counts and
 posteriors take all documents in. Without both kinds of labels in the sample all evidence is 0.
 
 Defined results: a null or wordless text has features of 0 and so the evidence of an empty text; a null
-host or path is a site of its own; a document with both labels counts with each; rows that repeat are
+host or path is a site of its own; a document with both labels counts with each; of rows that share an id
+the smallest text is learned from; rows that repeat are
 scored as often as they come and count so in their sites; an empty table gives an empty table; columns of
 the input that are called like a result column are replaced, all others are carried along.
 """
@@ -113,7 +115,8 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     known = known.where(drawn).distinct()
     few = known.limit(4 * sample + 1).count() <= 4 * sample  # about sample are expected
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where(drawn)
-    labelled = texts.join(F.broadcast(known) if few else known, "_key").select("_text", "_label")
+    labelled = texts.join(F.broadcast(known) if few else known, "_key")
+    labelled = labelled.groupBy("_key", "_label").agg(F.min("_text").alias("_text")).select("_text", "_label")  # no more than there are labels
 
     def run(batches):
         for batch in batches:
@@ -156,37 +159,40 @@ def _expit(x) -> F.Column:
 
 
 def posteriors(scored: DataFrame, share: float, name: str = "evidence") -> DataFrame:
-    """For each path (_host, _path) of scored documents: the host's and its own posterior mean."""
+    """For each path (_covey_host, _covey_path) of scored documents: the host's and its own posterior mean."""
     p = _expit(F.col(name) + float(logit(share)))
-    paths = scored.groupBy("_host", "_path").agg(F.count(F.lit(1)).alias("_n"), F.sum(p).alias("_s"))
-    hosts = paths.groupBy("_host").agg(F.sum("_n").alias("_hn"), F.sum("_s").alias("_hs"))
+    paths = scored.groupBy("_covey_host", "_covey_path").agg(F.count(F.lit(1)).alias("_n"), F.sum(p).alias("_s"))
+    hosts = paths.groupBy("_covey_host").agg(F.sum("_n").alias("_hn"), F.sum("_s").alias("_hs"), F.count(F.lit(1)).alias("_paths"))
     total = hosts.agg(F.sum("_hn").alias("_tn"), F.sum("_hs").alias("_ts"), F.count(F.lit(1)).alias("_hosts"))
-    # Variance between host means, less what means of so many draws vary by themselves.
+    # Variance between means, less what means of so many draws vary by themselves: of hosts around the global
+    # mean, and of paths around the mean of their host.
     mean = F.col("_ts") / F.col("_tn")
     spread = hosts.crossJoin(F.broadcast(total)).agg(
         F.avg(F.pow(F.col("_hs") / F.col("_hn") - mean, 2) - mean * (1 - mean) / F.col("_hn")).alias("_between"),
         F.first(mean).alias("_mean"),
     )
-    heavy = F.when(F.col("_between") > 0, F.col("_mean") * (1 - F.col("_mean")) / F.col("_between") - 1)
-    weight = F.greatest(F.lit(PRIOR), F.least(F.coalesce(heavy, F.lit(1e6)), F.lit(1e6)))
-    prior = spread.select("_mean", weight.alias("_weight"))
-    hosts = hosts.crossJoin(F.broadcast(prior)).select(F.col("_host").alias("_h"), "_weight", ((F.col("_hs") + F.col("_weight") * F.col("_mean")) / (F.col("_hn") + F.col("_weight"))).alias("host_posterior"))
-    joined = paths.join(hosts, F.col("_host").eqNullSafe(F.col("_h")))
-    return joined.select("_host", "_path", "host_posterior", ((F.col("_s") + F.col("_weight") * F.col("host_posterior")) / (F.col("_n") + F.col("_weight"))).alias("path_posterior"))
+    of_host = paths.join(hosts.where("_paths > 1").withColumnRenamed("_covey_host", "_h"), F.col("_covey_host").eqNullSafe(F.col("_h")))
+    own, least = F.col("_hs") / F.col("_hn"), F.lit(1e-9)
+    inner = of_host.agg(F.avg(F.pow(F.col("_s") / F.col("_n") - own, 2) - own * (1 - own) / F.col("_n")).alias("_within"), F.avg(own * (1 - own)).alias("_noise"))
+    weighed = lambda noise, between: F.greatest(F.lit(PRIOR), F.least(F.coalesce(F.when(between > least, noise / between - 1), F.lit(1e6)), F.lit(1e6)))
+    prior = spread.crossJoin(F.broadcast(inner)).select("_mean", weighed(F.col("_mean") * (1 - F.col("_mean")), F.col("_between")).alias("_weight"), weighed(F.col("_noise"), F.col("_within")).alias("_path_weight"))
+    hosts = hosts.crossJoin(F.broadcast(prior)).select(F.col("_covey_host").alias("_h"), "_path_weight", ((F.col("_hs") + F.col("_weight") * F.col("_mean")) / (F.col("_hn") + F.col("_weight"))).alias("host_posterior"))
+    joined = paths.join(hosts, F.col("_covey_host").eqNullSafe(F.col("_h")))
+    return joined.select("_covey_host", "_covey_path", "host_posterior", ((F.col("_s") + F.col("_path_weight") * F.col("host_posterior")) / (F.col("_n") + F.col("_path_weight"))).alias("path_posterior"))
 
 
 def judge(scored: DataFrame, sites: DataFrame, name: str = "evidence", threshold: float = THRESHOLD, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """scored with host_posterior, path_posterior, quality_score and kept."""
-    sites = stored(sites.withColumnsRenamed({"_host": "_sh", "_path": "_sp"}), "sites")
-    few = sites.select("_sh").limit(max_broadcast + 1).count() <= max_broadcast
+    sites = stored(sites.withColumnsRenamed({"_covey_host": "_covey_sh", "_covey_path": "_covey_sp"}), "sites")
+    few = sites.select("_covey_sh").limit(max_broadcast + 1).count() <= max_broadcast
     met = scored.drop("host_posterior", "path_posterior", "quality_score", "kept")
-    met = met.join(F.broadcast(sites) if few else sites, F.col("_host").eqNullSafe(F.col("_sh")) & F.col("_path").eqNullSafe(F.col("_sp")))
+    met = met.join(F.broadcast(sites) if few else sites, F.col("_covey_host").eqNullSafe(F.col("_covey_sh")) & F.col("_covey_path").eqNullSafe(F.col("_covey_sp")))
     odds = F.log(F.col("path_posterior") / (1 - F.col("path_posterior")))
-    return met.drop("_sh", "_sp").withColumn("quality_score", _expit(F.col(name) + odds)).withColumn("kept", F.col("quality_score") >= threshold)
+    return met.drop("_covey_sh", "_covey_sp").withColumn("quality_score", _expit(F.col(name) + odds)).withColumn("kept", F.col("quality_score") >= threshold)
 
 
 def sited(df: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
-    return df.withColumns({"_host": F.col(host).cast("string"), "_path": F.col(path).cast("string")})
+    return df.withColumns({"_covey_host": F.col(host).cast("string"), "_covey_path": F.col(path).cast("string")})
 
 
 def op10_site_quality(spark, sf_dir: str) -> DataFrame:
@@ -194,13 +200,13 @@ def op10_site_quality(spark, sf_dir: str) -> DataFrame:
     model = learn(docs, labels)
     scored = stored(evidence(sited(docs.select("doc_id", "source", "lang", "text")), model), "evidence")
     found = judge(scored, posteriors(scored, model["share"]))
-    return found.select("doc_id", F.col("_host").alias("host"), F.col("_path").alias("path"), "evidence", "host_posterior", "path_posterior", "quality_score", "kept")
+    return found.select("doc_id", F.col("_covey_host").alias("host"), F.col("_covey_path").alias("path"), "evidence", "host_posterior", "path_posterior", "quality_score", "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without the rejected ones, in their own columns. The text is read twice, so that it never is shuffled."""
     columns = docs.columns
     model = learn(docs, labels)
-    narrow = evidence(sited(docs).select("_host", "_path", "text"), model)
+    narrow = evidence(sited(docs).select("_covey_host", "_covey_path", "text"), model)
     found = judge(evidence(sited(docs), model, keep_text=True), posteriors(narrow, model["share"]))
     return found.where("kept").select(*columns)

@@ -28,27 +28,56 @@ def test_held_out_accuracy(spark):
     assert np.mean(good) >= 0.99
 
 
-def test_posteriors_by_hand(spark):
-    share, rng = 0.8, np.random.default_rng(5)
-    rows = [(h, p, float(e)) for h, p, n, m in (("a", "x", 60, 2), ("a", "y", 3, -2), ("b", None, 40, -3), (None, "x", 1, 0), ("c", "z", 25, 1)) for e in rng.normal(m, 1, n)]
-    df = spark.createDataFrame(rows, "_host string, _path string, evidence double")
+def brute(rows, share):
+    """Host and path posteriors of (host, path, evidence) rows, site by site."""
     p = [1 / (1 + np.exp(-(e + np.log(share / (1 - share))))) for _, _, e in rows]
-    mean = np.mean(p)
-    hosts = {h: [x for (k, _, _), x in zip(rows, p) if k == h] for h, _, _ in rows}
-    between = np.mean([(np.mean(v) - mean) ** 2 - mean * (1 - mean) / len(v) for v in hosts.values()])
-    weight = max(quality.PRIOR, min(1e6, mean * (1 - mean) / between - 1 if between > 0 else 1e6))
+    mean, hosts, paths = np.mean(p), {}, {}
+    for (h, q, _), x in zip(rows, p):
+        hosts.setdefault(h, []).append(x)
+        paths.setdefault((h, q), []).append(x)
+    weigh = lambda noise, between: max(quality.PRIOR, min(1e6, noise / between - 1 if between > 1e-9 else 1e6))
+    weight = weigh(mean * (1 - mean), np.mean([(np.mean(v) - mean) ** 2 - mean * (1 - mean) / len(v) for v in hosts.values()]))
+    inner = [(np.mean(hosts[h]), v) for (h, _), v in paths.items() if sum(k[0] == h for k in paths) > 1]
+    path_weight = weigh(np.mean([m * (1 - m) for m, _ in inner]), np.mean([(np.mean(v) - m) ** 2 - m * (1 - m) / len(v) for m, v in inner])) if inner else 1e6
+    host = {h: (sum(v) + weight * mean) / (len(v) + weight) for h, v in hosts.items()}
+    return host, {(h, q): (sum(v) + path_weight * host[h]) / (len(v) + path_weight) for (h, q), v in paths.items()}, (weight, path_weight)
+
+
+@pytest.mark.parametrize("apart", [0.0, 4.0])
+def test_posteriors_by_hand(spark, apart):
+    share, rng = 0.8, np.random.default_rng(5)
+    sites = (("a", "x", 60, 2), ("a", "y", 80, 2 - apart), ("b", None, 40, -3), ("b", "w", 30, -3 + apart), (None, "x", 1, 0), ("c", "z", 25, 1))
+    rows = [(h, p, float(e)) for h, p, n, m in sites for e in rng.normal(m, 1, n)]
+    df = spark.createDataFrame(rows, "_covey_host string, _covey_path string, evidence double")
+    host, path, (weight, path_weight) = brute(rows, share)
+    assert (path_weight > 100) == (apart == 0)  # paths that differ are shrunk less
     for r in quality.posteriors(df, share).collect():
-        v = hosts[r["_host"]]
-        host = (sum(v) + weight * mean) / (len(v) + weight)
-        own = [x for (h, q, _), x in zip(rows, p) if (h, q) == (r["_host"], r["_path"])]
-        assert r["host_posterior"] == pytest.approx(host)
-        assert r["path_posterior"] == pytest.approx((sum(own) + weight * host) / (len(own) + weight))
+        assert r["host_posterior"] == pytest.approx(host[r["_covey_host"]])
+        assert r["path_posterior"] == pytest.approx(path[r["_covey_host"], r["_covey_path"]])
     judged = quality.judge(df, quality.posteriors(df, share)).collect()
     joined = quality.judge(df, quality.posteriors(df, share), max_broadcast=0).collect()
     assert len(judged) == len(rows) == len(joined)
     assert sorted(map(repr, judged)) == sorted(map(repr, joined))
 
 
+def test_query(spark):
+    """The query against site by site arithmetic on its evidence, and the evidence against the classifier on each text alone."""
+    out = {r["doc_id"]: r for r in quality.op10_site_quality(spark, DATA).collect()}
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.learn(docs, labels)
+    rows = docs.collect()
+    assert len(out) == len(rows)
+    host, path, _ = brute([(r["source"], r["lang"], out[r["doc_id"]]["evidence"]) for r in rows], model["share"])
+    centre, scale, beta = model["weights"]
+    for r in rows:
+        got, site = out[r["doc_id"]], (r["source"], r["lang"])
+        z = (quality.expanded(quality.features(pa.array([r["text"]]))) - centre) / scale
+        assert got["evidence"] == pytest.approx(float(np.clip(z @ beta[:-1] + beta[-1], -20, 20)[0] - quality.logit(model["share"])))
+        assert (got["host"], got["path"]) == site and got["path_posterior"] == pytest.approx(path[site]) and got["host_posterior"] == pytest.approx(host[site[0]])
+        odds = got["evidence"] + np.log(path[site] / (1 - path[site]))
+        assert got["quality_score"] == pytest.approx(1 / (1 + np.exp(-odds))) and got["kept"] == (got["quality_score"] >= quality.THRESHOLD)
+
+
 def test_odd_rows(spark):
     rows = [Row(doc_id=1, text=None, lang=None, source=None, kept="x"), Row(doc_id=None, text="", lang="en", source="s", kept=None), Row(doc_id=3, text="One two three. " * 20000, lang="en", source="s", kept=None)]
     df = spark.createDataFrame(rows * 2, "doc_id long, text string, lang string, source string, kept string")
