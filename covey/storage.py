@@ -24,13 +24,37 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """df written as Parquet to the shared folder and read again: cuts lineage, survives lost executors.
+
+    Inside of scratch() the table goes when that ends, unless it is to be kept."""
     path = f"{shared_dir(df.sparkSession)}/{PREFIX}{_SESSION}-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    at = len(_SCRATCH) - 1 - keep
+    if at >= 0:
+        _SCRATCH[at].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes, at its end, the tables that stored() wrote inside and wasn't to keep: what is made from them must be stored by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        _delete(spark, _SCRATCH.pop())
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in map(make, paths):
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: A join of a table with the few of its rows that another one names: Spark then drops most of the others
 #: at the scan by a Bloom filter of bounded size, however small the table is.
 RUNTIME_FILTERS = {
