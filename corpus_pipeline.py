@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from covey.llm import bpe, mixing, neardup, pii, quality
 from covey.shipping import shipped
-from covey.storage import stored
+from covey.storage import scratch, stored
 
 ORACLE_SQL = None
 
@@ -52,5 +52,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with scratch(spark):  # a stage's working tables go once its result is written
+            docs = stored(stage(spark, docs, sf_dir), name, keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

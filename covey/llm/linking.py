@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from ..storage import stored
+from ..storage import scratch, stored
 
 #: Rounds after which something must be wrong; the count needed grows with the logarithm of a component's size.
 MAX_ROUNDS = 60
@@ -36,7 +36,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     sides of it come from storage, so that the rows of a node with very many links can be split.
     """
     small, large = F.least(a, b), F.greatest(a, b)
-    edges = stored(links.select(large.alias("u"), small.alias("v")).where("u <> v").distinct(), "links")
+    with scratch(links.sparkSession):  # a round needs no more than the one before
+        edges = _settled(stored(links.select(large.alias("u"), small.alias("v")).where("u <> v").distinct(), "links"))
+    pairs = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return pairs.unionByName(pairs.select(F.col("component").alias("node"), "component").distinct())
+
+
+def _settled(edges: DataFrame) -> DataFrame:
+    """Each node's link to the smallest of its component, kept in storage."""
     for _ in range(MAX_ROUNDS):
         # Large star: both directions of each link; v's neighbours above v go to the least of v and its neighbours.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -51,8 +58,5 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         changed = new.join(edges, ["u", "v"], "left_anti").limit(1).count() or edges.join(new, ["u", "v"], "left_anti").limit(1).count()
         edges = new
         if not changed:
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    pairs = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return pairs.unionByName(pairs.select(F.col("component").alias("node"), "component").distinct())
+            return stored(edges, "components", keep=True)
+    raise RuntimeError("components did not settle")

@@ -43,7 +43,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..storage import runtime_filters, stored
+from ..storage import runtime_filters, scratch, stored
 from .linking import components, forest
 from .words import Words, mixed, sliced
 
@@ -329,14 +329,14 @@ def verified(families: DataFrame, df: DataFrame, text: str, key: str, shingle: i
                     ["family", "point", "_blocks", "_block", "set"],
                 )
 
-    made = stored(texts.mapInArrow(sets, "family long, point long, _blocks int, _block int, set binary"), "sets")
     # Block i meets block j in the task (i, j), i <= j.
-    pairs = made.where(F.col("_blocks") <= MANY).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    made = texts.where(F.col("_blocks") <= MANY).mapInArrow(sets, "family long, point long, _blocks int, _block int, set binary")
+    pairs = made.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     pairs = pairs.withColumns({"_one": F.col("_block") >= F.col("_other"), "_j": F.greatest("_block", "_other"), "_block": F.least("_block", "_other")})
     found = [met(pairs, percent, False)]
-    large = made.where(F.col("_blocks") > MANY)
-    if large.limit(1).count():
-        found += gathered(large, percent)
+    if placed.where(F.col("_blocks") > MANY).limit(1).count():
+        large = texts.where(F.col("_blocks") > MANY).mapInArrow(sets, "family long, point long, _blocks int, _block int, set binary")
+        found += gathered(stored(large, "sets"), percent)
     links = found[0].select("a", "b")
     for x in found[1:]:
         links = links.unionByName(x.select("a", "b"))
@@ -405,10 +405,11 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
     marked = stored(signatures(df, text, key, shingle), "signatures")
     points = marked.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("point", "check").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), F.first("n_shingles").alias("n_shingles"))
     points = stored(points, "points")
-    families = components(candidates(points, similarity, trees or needed(similarity))).withColumnsRenamed({"node": "point", "component": "family"})
-    families = stored(families.join(points.select("point", "check", "doc_id", "n_shingles"), "point"), "families")
-    with runtime_filters(df.sparkSession):
-        exact = stored(verified(families, df, text, key, shingle, percent), "exact-links")
+    with scratch(df.sparkSession):
+        families = components(candidates(points, similarity, trees or needed(similarity))).withColumnsRenamed({"node": "point", "component": "family"})
+        families = stored(families.join(points.select("point", "check", "doc_id", "n_shingles"), "point"), "families", keep=True)
+    with scratch(df.sparkSession), runtime_filters(df.sparkSession):
+        exact = stored(verified(families, df, text, key, shingle, percent), "exact-links", keep=True)
     linked = components(exact).withColumnsRenamed({"node": "point", "component": "group"})
     linked = linked.join(families.select("point", "doc_id"), "point")
     least = linked.groupBy("group").agg(F.min("doc_id").alias("component_id"))

@@ -32,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..storage import stored
+from ..storage import scratch, stored
 from .linking import components, forest
 
 PASSES, NEIGHBOURS, BLOCK, BITS = 24, 256, 4000, 62
@@ -195,7 +195,8 @@ def near_vectors(df: DataFrame, vector: str = "embedding", key: str = "vec_id",
     parts = max(spark_parts(df), -(-(total[1] or 0) * passes // PART))
     rows = keyed(points, passes).withColumns({"_size": F.octet_length("vector"), "_bucket": F.shiftright("key", BITS - bits)})
     ordered = rows.repartitionByRange(parts, "turn", "_size", "_bucket").sortWithinPartitions("turn", "_size", "key", "point")
-    families = stored(components(neighbours(ordered, threshold, reach, bits)).withColumnsRenamed({"node": "point", "component": "family"}), "families")
+    with scratch(df.sparkSession):
+        families = stored(components(neighbours(ordered, threshold, reach, bits)).withColumnsRenamed({"node": "point", "component": "family"}), "families", keep=True)
     whole = stored(counted(families, points, threshold), "links")
     links = whole.groupBy("point").agg(F.sum("n_links").alias("_links"))
     linked = components(whole.select(F.col("point").alias("a"), F.col("least").alias("b")).where("a <> b")).withColumnsRenamed({"node": "point", "component": "group"})
