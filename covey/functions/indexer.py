@@ -1,12 +1,15 @@
-"""Cells of places: an interface, square cells for it, and the hexagon index where its package is installed."""
+"""Cells of places: an interface, the hexagon index, and square cells where a grid of degrees will do."""
 
 from __future__ import annotations
 
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
+from . import geo, hexagon
+
 
 class CellIndexer(Protocol):
     def cell(self, lat: Column, lon: Column, resolution: int) -> Column:
@@ -40,58 +43,61 @@ class SquareGrid:
 
 
 class HexagonIndex:
-    """The h3 package's index, over Arrow batches; raises ImportError where the package is missing."""
-
-    def __init__(self):
-        import h3.api.numpy_int  # noqa: F401
+    """The hierarchical hexagon index (see hexagon), over Arrow batches. A cell's number tells its resolution."""
 
     def cell(self, lat: Column, lon: Column, resolution: int) -> Column:
         @F.pandas_udf("long")
         def index(lat: pd.Series, lon: pd.Series) -> pd.Series:
-            import h3.api.numpy_int as h3
+            good = (lat.between(-90, 90) & lon.between(-180, 180)).to_numpy()
+            out = pd.Series(pd.NA, index=lat.index, dtype="Int64")
+            out[good] = hexagon.cell_of(lat[good].to_numpy(), lon[good].to_numpy(), resolution)
+            return out
 
-            good = lat.between(-90, 90) & lon.between(-180, 180)
-            return pd.Series([int(h3.latlng_to_cell(a, b, resolution)) if g else None for a, b, g in zip(lat, lon, good)], dtype="Int64")
+        return index(lat.cast("double"), lon.cast("double"))
 
-        return index(lat, lon)
+    def parent(self, cell: Column, resolution: int, coarser: int) -> Column:
+        return geo.parent(cell, coarser)
 
-    def centre(self, cell: Column, resolution: int) -> tuple[Column, Column]:
+    def centre(self, cell: Column, resolution: int | None = None) -> tuple[Column, Column]:
         @F.pandas_udf("lat double, lon double")
         def place(cell: pd.Series) -> pd.DataFrame:
-            import h3.api.numpy_int as h3
-
-            return pd.DataFrame([h3.cell_to_latlng(int(c)) if pd.notna(c) else (None, None) for c in cell], columns=["lat", "lon"])
+            out = np.full((len(cell), 2), np.nan)
+            known = cell.notna().to_numpy()
+            out[known] = hexagon.centre_of(cell[known].astype("int64"))
+            return pd.DataFrame(out, columns=["lat", "lon"])
 
         found = place(cell)
-        return found["lat"], found["lon"]
+        return F.nanvl(found["lat"], F.lit(None)), F.nanvl(found["lon"], F.lit(None))
 
     def boundary(self, cell: Column) -> Column:
-        """Corners of a cell, null where it crosses the antimeridian."""
+        """Corners of a cell, counter-clockwise; null where it crosses the antimeridian, and for no cell."""
 
         @F.pandas_udf("array<struct<lat:double,lon:double>>")
         def corners(cell: pd.Series) -> pd.Series:
-            import h3.api.numpy_int as h3
-
-            rings = [h3.cell_to_boundary(int(c)) for c in cell]
-            return pd.Series([[{"lat": a, "lon": b} for a, b in r] if max(b for _, b in r) - min(b for _, b in r) <= 180 else None for r in rings])
+            known = cell.notna().to_numpy()
+            rings = iter(hexagon.corners_of(cell[known].astype("int64")))
+            out = []
+            for k in known:
+                ring = next(rings) if k else None
+                shown = ring is not None and np.ptp(ring[:, 1]) <= 180
+                out.append(list(dict.fromkeys((float(a), float(b)) for a, b in ring.round(12))) if shown else None)
+            return pd.Series([None if r is None else [{"lat": a, "lon": b} for a, b in r] for r in out])
 
         return corners(cell)
 
     def ring(self, cell: Column, k: int) -> Column:
-        """Cells at a grid distance up to k."""
+        """Cells at a grid distance up to k, in order; null for no cell."""
 
         @F.pandas_udf("array<long>")
         def disk(cell: pd.Series) -> pd.Series:
-            import h3.api.numpy_int as h3
-
-            return pd.Series([[int(x) for x in h3.grid_disk(int(c), k)] for c in cell])
+            known = cell.notna().to_numpy()
+            owner, found = hexagon.disk(cell[known].astype("int64"), k)
+            parts = iter(np.split(found, np.flatnonzero(np.diff(owner)) + 1))
+            return pd.Series([next(parts) if x else None for x in known])
 
         return disk(cell)
 
 
 def indexer() -> CellIndexer:
-    """Hexagons where they can be had, else squares."""
-    try:
-        return HexagonIndex()
-    except ImportError:
-        return SquareGrid()
+    """What packs are made with."""
+    return HexagonIndex()

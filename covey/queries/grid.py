@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import geo
+from ..functions import geo, indexer
 from ..operators import coverage
 from .registry import query
 from .views import OBS, observations, table
@@ -148,3 +148,34 @@ def hex_redistribute(spark, sf_dir):
 @query(f"WITH {PACKS_SQL}, merged AS (SELECT resolution, cell, sum(n) AS n FROM spread GROUP BY 1, 2) SELECT resolution, count(*) AS hexagons, CAST(sum(n) AS BIGINT) AS checklists, count(*) FILTER (n > 0) AS shown FROM merged GROUP BY 1")
 def hex_merge_stats(spark, sf_dir):
     return coverage.merged_stats(coverage.redistributed(packs(spark, sf_dir), 4, (2, 4, 5)))
+
+
+# Published cells of the hexagon index.
+PLACES = [(37.775938728915946, -122.41795063018799, 9), (37.3615593, -122.0553238, 7), (40.689167, -74.044444, 10)]
+
+
+@query("""SELECT * FROM (VALUES (9, '8928308280fffff', '85283083fffffff'), (7, '87283472bffffff', '85283473fffffff'), (10, '8a2a1072b59ffff', '852a1073fffffff')) AS t(resolution, cell, parent5)""")
+def hex_published(spark, sf_dir):
+    rows, index = spark.createDataFrame(PLACES, "lat double, lon double, resolution int"), indexer.HexagonIndex()
+    cell = F.coalesce(*(F.when(F.col("resolution") == r, index.cell(F.col("lat"), F.col("lon"), r)) for r in (7, 9, 10)))
+    return rows.select("resolution", geo.to_hex(cell).alias("cell"), geo.to_hex(geo.parent(cell, 5)).alias("parent5"))
+
+
+@query("""SELECT unnest(['89283082803ffff', '89283082807ffff', '8928308280bffff', '8928308280fffff', '8928308283bffff', '89283082873ffff', '89283082877ffff']) AS cell""")
+def hex_ring(spark, sf_dir):
+    one = spark.createDataFrame([(0x8928308280FFFFF,)], "cell long")
+    return one.select(F.explode(indexer.HexagonIndex().ring(F.col("cell"), 1)).alias("c")).select(geo.to_hex(F.col("c")).alias("cell"))
+
+
+@query(f"""WITH {POINTS}, r AS (SELECT unnest([2, 4, 5]) AS resolution) SELECT resolution, count(*) AS places, count(*) AS in_their_cell, count(*) AS at_its_centre FROM points, r GROUP BY resolution""")
+def hex_places(spark, sf_dir):
+    """Every place's cell is of the resolution asked for, and is the cell of its own centre."""
+    index, out = indexer.HexagonIndex(), None
+    for r in (2, 4, 5):
+        rows = points(spark, sf_dir).withColumn("cell", index.cell(F.col("lat"), F.col("lon"), r))
+        lat, lon = index.centre(F.col("cell"), r)
+        rows = rows.withColumns({"clat": lat, "clon": lon}).withColumn("again", index.cell(F.col("clat"), F.col("clon"), r))
+        right = (geo.resolution_of(F.col("cell")) == r) & (F.shiftright("cell", 59) == 1)
+        one = rows.agg(F.lit(r).alias("resolution"), F.count(F.lit(1)).alias("places"), F.count_if(right).alias("in_their_cell"), F.count_if(F.col("again") == F.col("cell")).alias("at_its_centre"))
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -8,6 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from covey.functions import hexagon, indexer
 from covey.operators import taxonomy, verify
 from covey.plans import cli, packs, state
 from covey.sinks import files as sinks
@@ -62,7 +63,7 @@ def test_dirty_values_are_counted(spark, tmp_path):
 
 
 def test_run_to_packs(spark, dump):
-    run = packs.PackRun(spark, str(dump / "dump.tar"), str(dump / "run"), "2024.01", least_checklists=1)
+    run = packs.PackRun(spark, str(dump / "dump.tar"), str(dump / "run"), "2024.01", least_checklists=1, index=indexer.SquareGrid())  # one cell holds all at resolution 2
     run.go()
     assert {s for _, s, _ in run.run.table()} == {state.COMPLETED}
     registry = json.loads((dump / "run/registry.json").read_text())
@@ -93,6 +94,19 @@ def test_run_to_packs(spark, dump):
     assert "PartitionFilters: [isnotnull(boundary_cell" in pruned._jdf.queryExecution().toString()
 
 
+def test_packs_of_hexagons(spark, dump):
+    """Packs hold the cells of the hexagon index unless another index is given."""
+    run = packs.PackRun(spark, str(dump / "dump.txt.gz"), str(dump / "hex"), "2024.01", least_checklists=1)
+    run.go()
+    want = {int(hexagon.cell_of([lat], [lon], r)[0]) for lat, lon in PLACES.values() for r in (2, 4, 5)}
+    rows = spark.read.parquet(str(dump / "hex/packs")).select("content").collect()
+    found = set()
+    for k, row in enumerate(rows):
+        (dump / f"{k}.db").write_bytes(row["content"])
+        found |= {x for (x,) in sqlite3.connect(dump / f"{k}.db").execute("SELECT h3_cell FROM grid_species")}
+    assert found == want
+
+
 def test_state(tmp_path):
     path = str(tmp_path / "state.json")
     run, done = state.Run(path, ("a", "b", "c")), []

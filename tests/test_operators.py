@@ -1,11 +1,12 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from covey.functions import geo, indexer, scores, text
+from covey.functions import geo, hexagon, indexer, scores, text
 from covey.operators import comparing, lookups, observations, ordering, planning, taxonomy
 
 # The ground sample: observation, taxon, cell, date, checklist, group, complete.
@@ -132,6 +133,52 @@ def test_hexagon_bits(spark):
         assert [r[0] for r in kids.select(geo.resolution_of(F.col("k"))).distinct().collect()] == [4]
 
 
+# Published cells of places.
+CELLS = [(37.775938728915946, -122.41795063018799, 9, "8928308280fffff"), (37.3615593, -122.0553238, 7, "87283472bffffff"), (40.689167, -74.044444, 10, "8a2a1072b59ffff"), (37.769377, -122.388903, 9, "89283082e73ffff")]
+CORNERS = [(37.271355866731895, -121.91508032705622), (37.353926450852256, -121.86222328902491), (37.42834118609435, -121.9235499963016), (37.42012867767778, -122.0377349642703), (37.33755608435298, -122.09042892904395), (37.26319797461824, -122.02910130919)]
+
+
+def test_published_hexagons():
+    for lat, lon, resolution, cell in CELLS:
+        assert f"{hexagon.cell_of([lat], [lon], resolution)[0]:x}" == cell
+    cell = np.array([0x85283473FFFFFFF])
+    assert hexagon.centre_of(cell)[0] == pytest.approx((37.345793375368, -121.976375972551))
+    assert hexagon.corners_of(cell)[0] == pytest.approx(np.array(CORNERS))
+    assert hexagon.centre_of([0x8001FFFFFFFFFFF])[0] == pytest.approx((79.2423985098, 38.0234070080))
+    assert hexagon.PENTAGONS == geo.PENTAGONS
+
+
+def test_hexagons_cover_the_sphere():
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(20_000, 3))
+    near = np.repeat(hexagon.BASE_CENTRES[list(hexagon.PENTAGONS)], 500, 0) + rng.normal(size=(6000, 3)) * 0.02
+    places = hexagon._degrees(np.concatenate([v, near]) / np.linalg.norm(np.concatenate([v, near]), axis=1, keepdims=True))
+    for r in (0, 1, 2, 3, 4, 7, 11, 15):
+        cells = hexagon.cell_of(*places.T, r)
+        centres = hexagon.centre_of(cells)
+        assert (hexagon.cell_of(*centres.T, r) == cells).all() and (hexagon.resolution_of(cells) == r).all()
+        far = np.degrees(np.arccos(np.clip((hexagon.unit_vector(*np.radians(centres).T) * hexagon.unit_vector(*np.radians(places).T)).sum(1), -1, 1)))
+        assert far.max() < 25 / 7 ** (r / 2) + 1e-5
+        if r < 2:
+            assert len(np.unique(cells)) == (122, 842)[r]
+    for r in (1, 2, 3, 4):  # neighbours are mutual; pentagons have five
+        cells = np.unique(hexagon.cell_of(*places.T, r))
+        sides = {c: set(n) - {c} for c, n in zip(cells.tolist(), hexagon.beside(cells).tolist())}
+        five = set(cells[hexagon.is_pentagon(cells)].tolist())
+        assert all(len(n) == 6 - (c in five) for c, n in sides.items())
+        assert all(c in sides[n] for c, ns in sides.items() for n in ns if n in sides)
+
+
+def test_hexagon_columns(spark):
+    rows = [(37.775938728915946, -122.41795063018799), (91.0, 0.0), (None, 1.0), (0.0, 179.99)]
+    index = indexer.HexagonIndex()
+    df = spark.createDataFrame(rows, "lat double, lon double").withColumn("c", index.cell(F.col("lat"), F.col("lon"), 3))
+    lat, lon = index.centre(F.col("c"))
+    got = df.select("c", lat.alias("y"), lon.alias("x"), index.ring(F.col("c"), 2).alias("disk"), index.boundary(F.col("c")).alias("ring")).collect()
+    assert [r["c"] is None for r in got] == [False, True, True, False] == [r["y"] is None for r in got] == [r["disk"] is None for r in got]
+    assert len(got[0]["disk"]) == 19 and len(got[0]["ring"]) == 6 and got[3]["ring"] is None and got[1]["ring"] is None
+
+
 def test_square_cells(spark):
     grid, rng = indexer.SquareGrid(), random.Random(3)
     rows = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(300)] + [(90.0, 180.0), (-90.0, -180.0), (0.0, 0.0), (91.0, 0.0), (None, 1.0)]
