@@ -86,6 +86,11 @@ def to_hex(cell: Column) -> Column:
     return F.lower(F.hex(cell))
 
 
+def hex_text(cell: int) -> str:
+    """A cell's number as text, for documents."""
+    return f"{cell:x}"
+
+
 def from_hex(text: Column) -> Column:
     return F.conv(text, 16, 10).cast("long")
 

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import indexer as cells, scores
+from ..functions import geo, indexer as cells, scores
 from ..operators import observations as ops, planning
 from ..sinks import files as sinks
 from ..sources import adapters, files as sources
@@ -91,6 +91,15 @@ class PackRun:
         written = sinks.export(self.read("packs"), self.path("release")).where("written").count()
         return self.path("release"), {"written": written}
 
+    def size_manifest(self):
+        """Each boundary cell's share of its region's pack, from what was built, as a document."""
+        packs = self.read("plan").groupBy("region_id").agg(F.collect_list("cell").alias("cells"))
+        shares = planning.size_manifest(packs, self.read("packs").select("region_id", "size_bytes"))
+        totals = planning.manifest_totals(shares).first().asDict()
+        listed = {geo.hex_text(r["cell"]): {"size_mb": r["size_mb"], "source_region": r["source_region"]} for r in shares.orderBy("cell").collect()}  # a row for each cell of the plan
+        sinks.document({"version": self.version, "generated_at": state.now(), "boundary_resolution": self.boundary, **totals, "cells": listed}, self.path("size-manifest.json"))
+        return self.path("size-manifest.json"), totals
+
     def verify(self):
         counts = {n: self.read(n).count() for n in ("observations", "sorted")}
         if len(set(counts.values())) > 1:

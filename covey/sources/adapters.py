@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import gzip
 import io
 import json
@@ -189,18 +190,29 @@ class _ServiceReader(DataSourceReader):
         self.options, self.names = options, schema.names
 
     def partitions(self):
+        if "answers" in self.options:
+            return [_Batch(path) for path in sorted(glob.glob(self.options["answers"]))]
         return [_Batch(q) for q in json.loads(self.options["queries"])]
 
     def read(self, partition):
+        if "answers" in self.options:
+            with open(partition.value, encoding="utf-8") as answer:
+                yield from self.rows(answer)
+            return
         data = urllib.parse.urlencode({"query": partition.value, "format": "json"}).encode()
         request = urllib.request.Request(self.options["endpoint"], data, {"Accept": "application/sparql-results+json", "User-Agent": "covey"})
         with urllib.request.urlopen(request, timeout=float(self.options.get("timeout", "300"))) as answer:  # a failed batch fails the job
-            for row in json.load(answer)["results"]["bindings"]:
-                yield tuple(row.get(n, {}).get("value") for n in self.names)
+            yield from self.rows(answer)
+
+    def rows(self, answer):
+        for row in json.load(answer)["results"]["bindings"]:
+            yield tuple(row.get(n, {}).get("value") for n in self.names)
 
 
 class QueryService(DataSource):
-    """Answers of a SPARQL service, a task for each query; options endpoint, queries (a JSON list), timeout. Give a schema of its variables."""
+    """Answers of a SPARQL service, a task for each query; options endpoint, queries (a JSON list), timeout. Give a schema of its variables.
+
+    With the option answers, a pattern of files, saved answers are read instead, a task for each file."""
 
     @classmethod
     def name(cls) -> str:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from covey.functions import hexagon, indexer
 from covey.operators import taxonomy, verify
-from covey.plans import cli, packs, state
-from covey.sinks import files as sinks
+from covey.plans import analysis, cli, packs, state
+from covey.sinks import files as sinks, reference
 from covey.sources import adapters, files as sources, schemas
 from covey.streaming import ingest
 from test_operators import SAMPLE
@@ -105,6 +105,12 @@ def test_packs_of_hexagons(spark, dump):
         (dump / f"{k}.db").write_bytes(row["content"])
         found |= {x for (x,) in sqlite3.connect(dump / f"{k}.db").execute("SELECT h3_cell FROM grid_species")}
     assert found == want
+    made, totals = run.size_manifest()
+    manifest = json.loads(open(made).read())
+    assert totals["total_cells"] == len(manifest["cells"]) == len({int(hexagon.cell_of([lat], [lon], 4)[0]) for lat, lon in PLACES.values()})
+    assert sum(c["size_mb"] for c in manifest["cells"].values()) == pytest.approx(sum(r[0] for r in spark.read.parquet(str(dump / "hex/packs")).select("size_bytes").collect()) / 2**20)
+    cli.main(["--dump", "x", "--folder", str(dump / "hex"), "--version", "v", "bundle"])
+    assert json.loads((dump / "hex/bundles.json").read_text())["bundles"][0]["release_name"] == "pack-bundle-001-v"
 
 
 def test_state(tmp_path):
@@ -183,6 +189,45 @@ def test_sqlite(spark, tmp_path):
     assert [tuple(r) for r in read.option("query", "SELECT count(*) AS n FROM species").load().collect()] == [("2",)]
 
 
+def test_reference_database(spark, tmp_path):
+    species = spark.createDataFrame([("a1", "Struthio camelus", "Ostrich", "Struthioniformes", "Struthionidae", "Struthio", "camelus"), ("a2", "Rhea americana", "Rhea", "Rheiformes", "Rheidae", "Rhea", "americana")], "avibase_id string, scientific_name string, english_name string, order_name string, family string, genus string, species_epithet string")
+    translations = spark.createDataFrame([("a1", "de", "Strauß"), ("a1", "fr", "Autruche")], "avibase_id string, language_code string, common_name string")
+    languages_ = spark.createDataFrame([("de", "German", 1), ("fr", "French", 1)], "language_code string, language_name string, translation_count int")
+    facts = spark.createDataFrame([("species_count", "2")], "key string, value string")
+    path = str(tmp_path / "reference.db")
+    tables = {"species": species, "translations": translations, "languages": languages_, "metadata": facts}
+    assert reference.reference_database(tables, path) == {"species": 2, "translations": 2, "languages": 2, "metadata": 1}
+    db = sqlite3.connect(path)
+    assert db.execute("SELECT common_name FROM translations JOIN species USING (avibase_id) WHERE family = 'Struthionidae' ORDER BY 1").fetchall() == [("Autruche",), ("Strauß",)]
+    assert len(db.execute("SELECT name FROM sqlite_master WHERE type = 'index' AND sql IS NOT NULL").fetchall()) == 5
+    with pytest.raises(sqlite3.IntegrityError):
+        reference.reference_database({"species": species.union(species)}, str(tmp_path / "twice.db"))
+    assert not (tmp_path / "twice.db").exists()
+    labels = species.select("avibase_id", "scientific_name").withColumn("wikidata_id", F.concat(F.lit("Q"), "avibase_id"))
+    assert reference.reference_database({"species": labels}, str(tmp_path / "labels.db"), "labels")["species"] == 2
+
+
+def test_analysis(spark, tmp_path):
+    make = lambda rows: spark.createDataFrame(rows, "species string, language string, name string")
+    a = make([("s1", "de", "A"), ("s2", "de", "B"), ("s1", "fr", "C")])
+    b = make([("s1", "de", "A"), ("s2", "de", "x"), ("s1", "es", "D")])
+    c = make([("s1", "de", "A"), ("s2", "de", "B"), ("s1", "it", "E")])
+    made = analysis.export({"first": a, "second": b, "third": c}, str(tmp_path / "analysis.json"))
+    read = json.loads((tmp_path / "analysis.json").read_text())
+    assert read["databases"]["first"] == {"species_count": 2, "translation_count": 3, "language_count": 2, "languages": {"de": 2, "fr": 1}}
+    assert read["pairs"]["first-second"]["languages"] == {"shared": ["de"], "first_only": ["fr"], "second_only": ["es"]} and len(read["pairs"]) == 3
+    assert (read["three_way"]["total_matches"], read["three_way"]["total_differences"]) == (1, 1) == (made["three_way"]["total_matches"], 1)
+    assert read["three_way"]["difference_examples"] == [{"species": "s2", "language": "de", "agreement": "two", "first": "B", "second": "x", "third": "B"}]
+
+
+def test_saved_answers(spark, tmp_path):
+    for k in range(2):
+        (tmp_path / f"{k}.json").write_text(json.dumps({"results": {"bindings": [{"species": {"value": f"Q{k}"}, "label": {"value": "x"}}]}}))
+    adapters.register(spark)
+    rows = spark.read.format("query_service").option("answers", str(tmp_path / "*.json")).schema("species string, label string, lang string").load()
+    assert sorted(map(tuple, rows.collect())) == [("Q0", "x", None), ("Q1", "x", None)]
+
+
 def test_queries_for_services():
     assert "LIMIT 5" in adapters.species_query(5) and "LIMIT" not in adapters.species_query()
     assert "wd:Q1 wd:Q2" in adapters.label_query(["Q1", "Q2"], ["en"]) and '"en"' in adapters.label_query(["Q1"], ["en", "fr"])
