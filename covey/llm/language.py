@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..storage import scratch, stored
 from .columns import others
 from .words import joined, sliced
 
@@ -38,6 +39,8 @@ SAMPLE = 6 << 20
 BLOCK = 1 << 21
 #: Bytes of text in all languages' samples, and bytes of tables that a worker holds.
 TOTAL, TABLES = 64 * SAMPLE, 400 << 20
+#: A language with one in so many bytes of all labelled texts is a large one; there are at most so many.
+HOT = 1000
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -180,11 +183,21 @@ class Forest:
 def learn(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> tuple:
     """(languages, language, gram and count of what was seen) from about sample bytes of each language."""
     rows = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(key).isNotNull())
-    sizes = rows.groupBy(F.col(lang).alias("_covey_lang")).agg(F.sum(F.octet_length(text)).alias("_covey_size"))
-    each = min(sample, TOTAL // max(1, sizes.count()))
     draw = F.pmod(F.xxhash64(F.lit("language"), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.join(sizes, F.col(lang) == F.col("_covey_lang")).where(draw * F.greatest(F.col("_covey_size"), F.lit(1)) < each)
-    found = counts(chosen, text, lang).toPandas()
+    with scratch(df.sparkSession):
+        sizes = stored(rows.groupBy(F.col(lang).alias("_covey_lang")).agg(F.sum(F.octet_length(text)).alias("_covey_size")), "language-sizes")
+        languages, total = sizes.agg(F.count("*"), F.coalesce(F.sum("_covey_size"), F.lit(0))).first()
+        each = min(sample, TOTAL // max(1, languages))
+        hot = sizes.where(F.col("_covey_size") * float(HOT) >= max(1, total)).select(F.col("_covey_lang").alias("_covey_hot"), F.col("_covey_size").alias("_covey_most"))
+
+        def drawn(size: str) -> F.Column:
+            return F.col("_covey_draw") * F.greatest(F.col(size), F.lit(1)) < each
+
+        # Texts of large languages, which are few, are drawn where they are read; what moves by language is small.
+        named = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), draw.alias("_covey_draw"))
+        named = named.join(F.broadcast(hot), F.col("lang") == F.col("_covey_hot"), "left").where(F.col("_covey_most").isNull() | drawn("_covey_most"))
+        chosen = named.join(sizes, F.col("lang") == F.col("_covey_lang")).where(drawn("_covey_size"))
+        found = counts(chosen, "text", "lang").toPandas()
     langs = sorted(found["lang"].unique())
     number = {x: k for k, x in enumerate(langs)}
     return langs, found["lang"].map(number).to_numpy(np.int64), found["gram"].to_numpy(np.int64), found["n"].to_numpy(np.float64)

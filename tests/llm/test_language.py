@@ -58,6 +58,20 @@ def test_grams(spark):
     assert {(langs[a], int(g).to_bytes(4, "big")): c for a, g, c in zip(lang, gram, n)} == dict(want)
 
 
+@pytest.mark.parametrize("large", [0, 8, 1000])
+def test_sample(spark, monkeypatch, large):
+    """The same sample whether languages count as large or not, and all rows have their chance."""
+    monkeypatch.setattr(language, "HOT", large)
+    rows = [(k, "ab" * 50, "x" if k % 3 else "y") for k in range(600)] + [(k, "cd", f"z{k}") for k in range(600, 640)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, lang, gram, n = language.learn(df, sample=5000)
+    texts = n[gram == int.from_bytes(b"\n\n\na", "big")]
+    assert len(langs) == 42 and len(texts) == 2 and all(30 <= x <= 75 for x in texts)
+    assert n[gram == int.from_bytes(b"\n\n\nc", "big")].tolist() == [1.0] * 40
+    found = dict(zip(zip(lang.tolist(), gram.tolist()), n.tolist()))
+    assert found == test_sample.__dict__.setdefault("found", found)
+
+
 def test_letters():
     assert [language.has_letter(x) for x in (None, "", "12 _!", "²½Ⅷ", "² é", "日", "a")] == [False, False, False, False, True, True, True]
 
