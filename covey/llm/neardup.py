@@ -438,3 +438,22 @@ def keep_first(df: DataFrame, text: str = "text", key: str = "doc_id", **how) ->
 
 def op1_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=3, percent=85)
+
+
+# Sets with the similarity share one of their rarest shingles, of which each looks at as many as it may lack and one more.
+OP1_SQL = r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) ELSE [array_to_string(w, ' ')] END) AS shingle FROM words WHERE len(w) > 0),
+names AS (SELECT shingle, row_number() OVER (ORDER BY count(*), shingle) AS s FROM shingles GROUP BY shingle),
+owned AS (SELECT doc_id, list(s ORDER BY s) AS items FROM shingles JOIN names USING (shingle) GROUP BY doc_id),
+sets AS (SELECT min(doc_id) AS id, items, len(items) AS n FROM owned GROUP BY items),
+rare AS (SELECT id, unnest(items[1:n - (85 * n + 99) // 100 + 1]) AS s FROM sets),
+pairs AS (SELECT DISTINCT x.id AS a, y.id AS b FROM rare x JOIN rare y ON x.s = y.s AND x.id < y.id),
+met AS (SELECT a, b, x.n + y.n AS total, len(list_intersect(x.items, y.items)) AS common FROM pairs JOIN sets x ON x.id = a JOIN sets y ON y.id = b WHERE 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)),
+linked AS (SELECT a, b FROM met WHERE 100 * common >= 85 * (total - common)),
+links AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reached AS (SELECT id, id AS other FROM sets UNION SELECT r.id, l.b FROM reached r JOIN links l ON r.other = l.a),
+classes AS (SELECT id, min(other) AS least FROM reached GROUP BY id),
+known AS (SELECT o.doc_id, s.n, c.least FROM owned o JOIN sets s USING (items) JOIN classes c ON c.id = s.id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(least, doc_id) AS component_id, coalesce(least, doc_id) = doc_id AS kept FROM words LEFT JOIN known USING (doc_id)
+"""

@@ -14,4 +14,9 @@ QUERIES = {
     "op9_main_text": mainpage.op9_main_text,
     "op10_site_quality": quality.op10_site_quality,
 }
-SQL = {"op7_mix_sources": mixing.OP7_SQL}
+SQL = {
+    "op1_near_duplicates": neardup.OP1_SQL,
+    "op4_near_vectors": vectors.OP4_SQL,
+    "op6_repeated_passages": repeats.OP6_SQL,
+    "op7_mix_sources": mixing.OP7_SQL,
+}

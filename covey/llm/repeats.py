@@ -235,3 +235,16 @@ def op6_repeated_passages(spark, sf_dir: str) -> DataFrame:
     changes = changes.select("doc_id", "s1", "s2", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("_sha"))
     met = facts.join(changes, ["doc_id", "s1", "s2"], "left")
     return met.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("_sha", "whole_sha256").alias("kept_sha256"))
+
+
+# All windows, named by their words.
+OP6_SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS place, unnest(list_transform(range(1, len(w) - 48), lambda i: md5(array_to_string(w[i:i + 49], ' ')))) AS name FROM words WHERE len(w) >= 50),
+first AS (SELECT name, min(doc_id) AS least FROM windows GROUP BY name HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, place + k AS place FROM windows JOIN first USING (name), (SELECT unnest(range(50)) AS k) WHERE doc_id > least),
+removed AS (SELECT doc_id, count(*) AS n, list(place) AS places FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+  sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+FROM words LEFT JOIN removed USING (doc_id)
+"""

@@ -218,3 +218,17 @@ def spark_parts(df: DataFrame) -> int:
 
 def op4_near_vectors(spark, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+# All pairs of vectors.
+OP4_SQL = r"""
+WITH RECURSIVE vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS MATERIALIZED (SELECT * FROM vectors WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id < b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reached AS (SELECT a AS vec_id, a AS other FROM links UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a),
+classes AS (SELECT vec_id, min(other) AS least FROM reached GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least, vec_id) AS component_id, coalesce(least, vec_id) = vec_id AS kept
+FROM vectors LEFT JOIN counts USING (vec_id) LEFT JOIN classes USING (vec_id)
+"""
