@@ -128,3 +128,11 @@ def inserted(df: DataFrame, order: Column, unique: list[tuple[str, ...]]) -> Dat
         if not open_.limit(1).count():
             break
     return rows.join(reduce(DataFrame.unionByName, kept), "_order", "left_semi").select(*df.columns)
+
+
+def by_release(regions: DataFrame, asked: DataFrame, order: str = "place") -> DataFrame:
+    """For each release asked for, the first of its regions, null where it has none.
+
+    regions: (region_id, release_name, order); asked: (release_name)."""
+    first = regions.groupBy("release_name").agg(F.min_by("region_id", order).alias("region_id"))
+    return asked.select("release_name").distinct().join(first, "release_name", "left")

@@ -167,3 +167,25 @@ def merge_best_of(cells: dict[str, float], adjacent: dict[str, set[str]], most:
 def least_groups(cells: dict[str, float], most: float) -> int:
     """A bound on how few groups there can be."""
     return -(-sum(cells.values()) // most).__int__() if cells else 0
+
+
+def merged(cells: DataFrame, adjacent: DataFrame, most: float, tries: int = 0, seed: int = 0) -> DataFrame:
+    """(part, cell, merged): the number, within its part, of the group that each cell is merged into, see merge_best_of.
+
+    cells: (part, cell, size_mb); adjacent: (part, cell, other). Parts are planned apart, each by one task: a
+    part is a continent's cells, which are few and don't grow with the observations."""
+
+    def run(own: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        if own.empty:
+            return own[["part", "cell"]].assign(merged=0)
+        sizes = dict(zip(own["cell"], own["size_mb"], strict=True))
+        beside: dict[str, set[str]] = {}
+        for a, b in zip(near["cell"], near["other"], strict=True):
+            beside.setdefault(a, set()).add(b)
+            beside.setdefault(b, set()).add(a)
+        groups = merge_best_of(sizes, beside, most, tries, seed)
+        rows = [(own["part"].iloc[0], cell, k) for k, group in enumerate(groups, 1) for cell in group]
+        return pd.DataFrame(rows, columns=["part", "cell", "merged"])
+
+    types = f"part {cells.schema['part'].dataType.simpleString()}, cell {cells.schema['cell'].dataType.simpleString()}, merged long"
+    return cells.groupBy("part").cogroup(adjacent.groupBy("part")).applyInPandas(run, types)

@@ -159,3 +159,13 @@ def row_count_reconcile(spark, sf_dir):
 def first_wins_dedup(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     return lookups.first_wins(rows, ["user_id"], [F.col("ts"), F.col("event_id")]).drop("ts")
+
+
+@query("""WITH registry AS (SELECT 'region-' || CAST(c_custkey AS VARCHAR) AS region_id, 'bundle-' || CAST(c_nationkey AS VARCHAR) AS release_name, c_custkey AS place FROM customer),
+asked AS (SELECT 'bundle-' || CAST(n_nationkey + 3 AS VARCHAR) AS release_name FROM nation)
+SELECT a.release_name, (SELECT r.region_id FROM registry r WHERE r.release_name = a.release_name ORDER BY r.place LIMIT 1) AS region_id FROM asked a""")
+def release_lookup(spark, sf_dir):
+    text = lambda prefix, c: F.concat(F.lit(prefix), c.cast("string"))
+    registry = table(spark, sf_dir, "customer").select(text("region-", F.col("c_custkey")).alias("region_id"), text("bundle-", F.col("c_nationkey")).alias("release_name"), F.col("c_custkey").alias("place"))
+    asked = table(spark, sf_dir, "nation").select(text("bundle-", F.col("n_nationkey") + 3).alias("release_name"))
+    return lookups.by_release(registry, asked)
