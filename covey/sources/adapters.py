@@ -11,9 +11,12 @@ import sqlite3
 import tarfile
 import urllib.parse
 import urllib.request
+import warnings
 import zipfile
 from xml.etree import ElementTree
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
@@ -25,6 +28,8 @@ def dump_member(names: list[str]) -> str:
     found = [n for n in names if n.endswith(".txt.gz") and not n.rsplit("/", 1)[-1].startswith("._")]
     if not found:
         raise ValueError("the archive has no .txt.gz file")
+    if len(found) > 1:
+        warnings.warn(f"the archive has {len(found)} .txt.gz files, {found[0]} is read", stacklevel=2)
     return found[0]
 
 
@@ -55,8 +60,35 @@ class _OneReader(DataSourceReader):
         yield from self.rows(self.options, self.schema)
 
 
+#: Bytes of text that become one Arrow batch.
+BLOCK = 8 << 20
+
+
+def text_blocks(stream, size: int = BLOCK):
+    """Whole lines of a stream, as lists of bytes without their line feeds, about size bytes at a time."""
+    held = b""
+    while block := stream.read(size):
+        *lines, held = (held + block).split(b"\n")
+        if lines:
+            yield lines
+    if held:
+        yield [held]
+
+
+def split_fields(lines: list[bytes], names: list[str]) -> pa.RecordBatch:
+    """Tab-separated lines as columns: empty and missing fields are null, further ones go."""
+    kind = pa.large_string()
+    text = pc.utf8_rtrim(pa.array(lines, pa.large_binary()).cast(kind), "\r")
+    padded = pc.binary_join_element_wise(text, pa.scalar("\t" * len(names), kind), pa.scalar("", kind))
+    fields = pc.split_pattern(padded, "\t")
+    columns = (pc.list_element(fields, k) for k in range(len(names)))
+    return pa.RecordBatch.from_arrays([pc.if_else(pc.equal(c, ""), None, c).cast(pa.string()) for c in columns], names)
+
+
 class ObservationTar(_One):
-    """Rows of the dump in a tar file, as text by position; option path. Lines are streamed, nothing is unpacked to disk."""
+    """Rows of the dump in a tar file, as text by position; option path. Text is streamed block by block, nothing is unpacked to disk.
+
+    The dump is one gzip stream, which only one task can read; what follows is to repartition."""
 
     fields = ", ".join(f"{n} string" for n, _ in OBSERVATION_COLUMNS)
 
@@ -66,15 +98,14 @@ class ObservationTar(_One):
 
     @staticmethod
     def rows(options, schema):
-        width = len(schema.fields)
-        with tarfile.open(options["path"]) as archive:
-            member = archive.extractfile(dump_member(archive.getnames()))
-            with gzip.open(member, "rt", encoding="utf-8", newline="\n") as lines:
-                if options.get("header", "true").lower() == "true":
-                    next(lines, None)
-                for line in lines:
-                    values = [v or None for v in line.rstrip("\r\n").split("\t")[:width]]
-                    yield tuple(values + [None] * (width - len(values)))
+        head = options.get("header", "true").lower() == "true"
+        with tarfile.open(options["path"]) as archive, gzip.open(archive.extractfile(dump_member(archive.getnames()))) as stream:
+            for lines in text_blocks(stream):
+                if head:
+                    del lines[0]
+                    head = False
+                if lines:
+                    yield split_fields(lines, schema.names)
 
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"

@@ -54,6 +54,16 @@ def test_dumps_agree(spark, dump):
         adapters.dump_member(["a.csv", "x/._b.txt.gz"])
 
 
+def test_dump_in_blocks():
+    text = b"a\tb\tc\td\r\n\tx\n\n" + "é\t\t\tz".encode()
+    for size in (1, 2, 5, 1000):
+        rows = [tuple(r.values()) for lines in adapters.text_blocks(io.BytesIO(text), size) for r in adapters.split_fields(lines, ["p", "q", "r"]).to_pylist()]
+        assert rows == [("a", "b", "c"), (None, "x", None), (None, None, None), ("é", None, None)]
+    assert list(adapters.text_blocks(io.BytesIO(b""))) == []
+    with pytest.warns(UserWarning, match="2 .txt.gz files, b.txt.gz is read"):
+        assert adapters.dump_member(["._b.txt.gz", "b.txt.gz", "c.txt.gz"]) == "b.txt.gz"
+
+
 def test_dirty_values_are_counted(spark, tmp_path):
     line = dump_rows()[0].split("\t")
     at = [n for n, _ in schemas.OBSERVATION_COLUMNS].index("latitude")
